@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from aerostat import schema as S
 from aerostat.functions.calendar import parse_timestamp
 from aerostat.functions.numeric import GRID, exact_mean, units
-from aerostat.plans import quantiles, slices
+from aerostat.plans import lineage, quantiles, slices
 
 
 def present(df: DataFrame, columns: Iterable[str]) -> list[str]:
@@ -85,7 +85,7 @@ def domain_flags(df: DataFrame, limits: dict[str, tuple[float, float]] | None =
     if not active:
         return df
     flags = {f"is_{c}_domain_outlier": _outside(F.col(c), *lim) for c, lim in active.items()}
-    return df.withColumns({**flags, "is_any_domain_outlier": reduce(or_, flags.values())})
+    return _with_flags(df, flags, "is_any_domain_outlier")
 
 
 def domain_cap(df: DataFrame, limits: dict[str, tuple[float, float]] | None = None) -> DataFrame:
@@ -148,13 +148,12 @@ def iqr_flags(
     if not columns:
         return df.withColumn("is_any_outlier", F.lit(False))
     row = quantiles.as_one_row(_quartiles(df, columns, method), columns, [0.25, 0.75])
-    bounds = row.select(F.struct(*row.columns).alias("b")).scalar()
     flags = {}
     for c in columns:
-        q1, q3 = bounds[f"{c}_q0"], bounds[f"{c}_q1"]
+        q1, q3 = F.col(f"_bounds.{c}_q0"), F.col(f"_bounds.{c}_q1")
         reach = F.lit(multiplier) * (q3 - q1)
         flags[f"is_{c}_outlier"] = _outside(F.col(c), q1 - reach, q3 + reach)
-    return df.withColumns({**flags, "is_any_outlier": reduce(or_, flags.values())})
+    return _with_flags(lineage.with_scalar(df, row, "_bounds"), flags, "is_any_outlier").drop("_bounds")
 
 
 def zscore_flags(
@@ -163,11 +162,16 @@ def zscore_flags(
     """Like :func:`iqr_flags`, by distance from the mean in standard deviations."""
     columns = present(df, columns)
     row = df.agg(*[f(c).alias(f"{c}_{n}") for c in columns for n, f in (("mean", F.avg), ("sd", F.stddev))])
-    stats = row.select(F.struct(*row.columns).alias("s")).scalar()
     flags = {
-        f"is_{c}_outlier": F.abs(F.col(c) - stats[f"{c}_mean"]) > F.lit(limit) * stats[f"{c}_sd"] for c in columns
+        f"is_{c}_outlier": F.abs(F.col(c) - F.col(f"_stats.{c}_mean")) > F.lit(limit) * F.col(f"_stats.{c}_sd")
+        for c in columns
     }
-    return df.withColumns({**flags, "is_any_outlier": reduce(or_, flags.values())})
+    return _with_flags(lineage.with_scalar(df, row, "_stats"), flags, "is_any_outlier").drop("_stats")
+
+
+def _with_flags(df: DataFrame, flags: dict[str, Column], total: str) -> DataFrame:
+    """Add flag columns, then their three-valued OR."""
+    return df.withColumns(flags).withColumn(total, reduce(or_, [F.col(f) for f in flags]))
 
 
 def forward_fill(
@@ -193,8 +197,8 @@ def fill_with_global_mean(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Replace NULL by the mean of the whole column, a scalar subquery."""
     columns = present(df, columns)
     row = df.agg(*[exact_mean(F.col(c)).alias(c) for c in columns])
-    means = row.select(F.struct(*columns).alias("m")).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c), means[c]) for c in columns})
+    filled = {c: F.coalesce(F.col(c), F.col(f"_means.{c}")) for c in columns}
+    return lineage.with_scalar(df, row, "_means").withColumns(filled).drop("_means")
 
 
 def impute(
@@ -212,10 +216,10 @@ def impute(
     frame = slices.inside(key, order).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.withColumns({f"_in_{c}": F.last(c, ignorenulls=True).over(frame) for c in columns})
     fills = _fill_values(local, columns, key, order)
-    overall = _global_means(fills, columns, key)
-    joined = slices.attach(local, fills.select(key, slices.SLICE, *[f"_{k}_{c}" for c in columns for k in "cm"]), key)
+    carry = fills.select(key, slices.SLICE, *[f"_{k}_{c}" for c in columns for k in "cm"])
+    joined = lineage.with_scalar(slices.attach(local, carry, key), _global_means(fills, columns), "_all")
     return joined.withColumns(
-        {c: F.coalesce(F.col(f"_in_{c}"), F.col(f"_c_{c}"), F.col(f"_m_{c}"), overall[c]) for c in columns}
+        {c: F.coalesce(f"_in_{c}", f"_c_{c}", f"_m_{c}", F.col(f"_all.{c}")) for c in columns}
     ).select(*df.columns)
 
 
@@ -254,8 +258,8 @@ def _fill_values(local: DataFrame, columns: list[str], key: str, order: str) ->
     )
 
 
-def _global_means(fills: DataFrame, columns: list[str], key: str) -> Column:
-    """Mean of each column after the station stage, as a struct-valued scalar subquery."""
+def _global_means(fills: DataFrame, columns: list[str]) -> DataFrame:
+    """Mean of each column after the station stage, one row."""
     aggregates = []
     for c in columns:
         open_rows = F.when(F.col(f"_m_{c}").isNotNull(), F.col("_rows") - F.col(f"_k_{c}")).otherwise(0)
@@ -266,8 +270,7 @@ def _global_means(fills: DataFrame, columns: list[str], key: str) -> Column:
         aggregates.append(
             F.try_divide(total.cast("double") / F.lit(GRID), filled.cast("double")).alias(c)
         )
-    row = fills.agg(*aggregates)
-    return row.select(F.struct(*columns).alias("m")).scalar()
+    return fills.agg(*aggregates)
 
 
 def clean_measurements(

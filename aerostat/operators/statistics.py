@@ -11,6 +11,7 @@ from aerostat import schema as S
 from aerostat.functions.numeric import mean
 from aerostat.operators import cleaning
 from aerostat.operators.cleaning import present
+from aerostat.plans import lineage
 
 
 def _tall(df: DataFrame, names: Iterable[str], key: str, value: str, kind: str = "double") -> DataFrame:
@@ -91,8 +92,10 @@ def correlation_matrix(df: DataFrame, places: int = 3, least_rows: int = 5) -> D
     """
     names = present(df, [*S.POLLUTANTS, *S.WEATHER, "aqi"])
     complete = df.select(*[F.col(c).cast("double").alias(c) for c in names]).dropna()
-    averages = complete.agg(*[F.avg(c).alias(c) for c in names]).select(F.struct(*names).alias("m")).scalar()
-    centred = complete.select(*[(F.col(c) - averages[c]).alias(c) for c in names])
+    averages = complete.agg(*[F.avg(c).alias(c) for c in names])
+    centred = lineage.with_scalar(complete, averages, "_mean").select(
+        *[(F.col(c) - F.col(f"_mean.{c}")).alias(c) for c in names]
+    )
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
     moments = centred.agg(
         F.count("*").alias("_n"), *[F.sum(F.col(a) * F.col(b)).alias(f"{a}:{b}") for a, b in pairs]
@@ -126,19 +129,20 @@ def enough_rows(df: DataFrame, columns: Iterable[str], least: int = 5) -> DataFr
 def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
     """Equal-width bins between the least and the greatest value: ``(bin, lower, upper, count)``."""
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    span = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).select(F.struct("lo", "hi").alias("s")).scalar()
-    width = (span["hi"] - span["lo"]) / F.lit(float(bins))
-    slot = F.coalesce(F.try_divide(F.col("v") - span["lo"], width), F.lit(0.0))
-    return (
-        values.select(F.least(F.floor(slot), F.lit(bins - 1)).cast("long").alias("bin"))
+    span = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    low, width = F.col("_span.lo"), (F.col("_span.hi") - F.col("_span.lo")) / F.lit(float(bins))
+    slot = F.coalesce(F.try_divide(F.col("v") - low, width), F.lit(0.0))
+    counts = (
+        lineage.with_scalar(values, span, "_span")
+        .select(F.least(F.floor(slot), F.lit(bins - 1)).cast("long").alias("bin"))
         .groupBy("bin")
         .agg(F.count("*").alias("count"))
-        .select(
-            "bin",
-            (span["lo"] + F.col("bin") * width).alias("lower"),
-            (span["lo"] + (F.col("bin") + 1) * width).alias("upper"),
-            "count",
-        )
+    )
+    return lineage.with_scalar(counts, span, "_span").select(
+        "bin",
+        (low + F.col("bin") * width).alias("lower"),
+        (low + (F.col("bin") + 1) * width).alias("upper"),
+        "count",
     )
 
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -27,6 +28,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def with_scalar(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
+    """Add the columns of a one-row frame as one struct column.
+
+    A single scalar subquery, however many of its fields are used: no join, and one plan.
+    """
+    return df.withColumn(name, one_row.select(F.struct(*one_row.columns)).scalar())
+
+
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write the frame once as Parquet in the shared folder and read it back."""
     spark = df.sparkSession
