@@ -5,6 +5,9 @@ mean that lies on a rounding tie then flips between runs. Measurements are
 therefore put on a grid of 1e-6 and summed as integers, which is exact whatever
 the task order. The integer is split in two parts so that neither 64-bit sum can
 overflow below 2**43 rows, and both stay in hash aggregation.
+
+Arguments are column names or SQL expressions: one parse each, where composing
+Column objects would cross into the JVM a dozen times.
 """
 
 from __future__ import annotations
@@ -14,55 +17,57 @@ from pyspark.sql import functions as F
 
 GRID = 1_000_000.0
 _LOW_BITS = 20
-_LOW_MASK = (1 << _LOW_BITS) - 1
-_LOW_SPAN = float(1 << _LOW_BITS)
+_LOW_SPAN = 1 << _LOW_BITS
+
+
+def units_sql(value: str) -> str:
+    return f"floor(({value}) * {GRID!r}D + 0.5D)"
 
 
-def units(value: Column) -> Column:
+def units(value: str) -> Column:
     """The value as a whole number of grid steps (bigint)."""
-    return F.floor(value * F.lit(GRID) + F.lit(0.5))
+    return F.expr(units_sql(value))
 
 
-def partial_sums(value: Column, name: str) -> list[Column]:
-    """Mergeable parts of an exact sum: ``<name>_hi``, ``<name>_lo``, ``<name>_n``."""
-    steps = units(value)
-    return [
-        F.sum(F.shiftright(steps, _LOW_BITS)).alias(f"{name}_hi"),
-        F.sum(steps.bitwiseAND(F.lit(_LOW_MASK))).alias(f"{name}_lo"),
-        F.count(value).alias(f"{name}_n"),
-    ]
+def _parts(value: str) -> tuple[str, str, str]:
+    steps = units_sql(value)
+    return (
+        f"sum(shiftright({steps}, {_LOW_BITS}))",
+        f"sum({steps} & {_LOW_SPAN - 1}L)",
+        f"count({value})",
+    )
 
 
-def merge_sums(name: str) -> list[Column]:
-    """Second-level aggregation of :func:`partial_sums` columns."""
-    return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in ("hi", "lo", "n")]
+def _joined(high: str, low: str) -> str:
+    return f"((CAST({high} AS DOUBLE) * {float(_LOW_SPAN)!r}D + CAST({low} AS DOUBLE)) / {GRID!r}D)"
 
 
-def sum_from(name: str) -> Column:
-    """The exact sum held by merged ``partial_sums`` columns."""
-    return _join(F.col(f"{name}_hi"), F.col(f"{name}_lo")) / F.lit(GRID)
+def partial_sums(value: str, name: str) -> list[Column]:
+    """Mergeable parts of an exact sum: ``<name>_hi``, ``<name>_lo``, ``<name>_n``."""
+    return [F.expr(f"{sql} AS {name}_{part}") for part, sql in zip(("hi", "lo", "n"), _parts(value))]
 
 
-def mean_from(name: str) -> Column:
-    return F.try_divide(sum_from(name), F.col(f"{name}_n").cast("double"))
+def merge_sums(name: str) -> list[Column]:
+    """Second-level aggregation of :func:`partial_sums` columns."""
+    return [F.expr(f"sum({name}_{part}) AS {name}_{part}") for part in ("hi", "lo", "n")]
 
 
-def exact_sum(value: Column, over: WindowSpec | None = None) -> Column:
-    steps = units(value)
-    high, low = F.sum(F.shiftright(steps, _LOW_BITS)), F.sum(steps.bitwiseAND(F.lit(_LOW_MASK)))
-    if over is not None:
-        high, low = high.over(over), low.over(over)
-    return _join(high, low) / F.lit(GRID)
+def mean_from(name: str, places: int | None = None) -> Column:
+    """The mean held by merged :func:`partial_sums` columns."""
+    return F.expr(_rounded(f"try_divide({_joined(f'{name}_hi', f'{name}_lo')}, CAST({name}_n AS DOUBLE))", places))
 
 
-def exact_mean(value: Column) -> Column:
+def mean(value: str, places: int | None = None) -> Column:
     """Aggregate mean of the non-null values, NULL when there are none."""
-    return F.try_divide(exact_sum(value), F.count(value).cast("double"))
+    high, low, count = _parts(value)
+    return F.expr(_rounded(f"try_divide({_joined(high, low)}, CAST({count} AS DOUBLE))", places))
 
 
-def mean(value: Column, places: int | None = None) -> Column:
-    return exact_mean(value) if places is None else F.round(exact_mean(value), places)
+def running_sum(value: str, over: WindowSpec) -> Column:
+    high, low, _ = _parts(value)
+    whole = F.expr(high).over(over).cast("double") * F.lit(float(_LOW_SPAN))
+    return (whole + F.expr(low).over(over).cast("double")) / F.lit(GRID)
 
 
-def _join(high: Column, low: Column) -> Column:
-    return high.cast("double") * F.lit(_LOW_SPAN) + low.cast("double")
+def _rounded(sql: str, places: int | None) -> str:
+    return sql if places is None else f"round({sql}, {places})"

@@ -75,8 +75,8 @@ def station_statistics(df: DataFrame) -> DataFrame:
     """Per station: readings, mean and greatest index and PM2.5 to one place."""
     return df.groupBy(S.STATION).agg(
         F.count("*").alias("readings_count"),
-        mean(F.col("aqi"), 1).alias("avg_aqi"),
+        mean("aqi", 1).alias("avg_aqi"),
         F.round(F.max("aqi"), 1).alias("max_aqi"),
-        mean(F.col("pm2_5"), 1).alias("avg_pm2_5"),
+        mean("pm2_5", 1).alias("avg_pm2_5"),
         F.round(F.max("pm2_5"), 1).alias("max_pm2_5"),
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from aerostat import schema as S
 from aerostat.functions.calendar import parse_timestamp
-from aerostat.functions.numeric import GRID, exact_mean, units
+from aerostat.functions.numeric import GRID, mean, units
 from aerostat.plans import lineage, quantiles, slices
 
 
@@ -185,7 +185,7 @@ def forward_fill(
 def fill_with_station_mean(df: DataFrame, columns: Iterable[str], key: str = S.STATION) -> DataFrame:
     """Replace NULL by the station's mean. Means are partially aggregated, then joined."""
     columns = present(df, columns)
-    means = df.groupBy(key).agg(*[exact_mean(F.col(c)).alias(f"_m_{c}") for c in columns])
+    means = df.groupBy(key).agg(*[mean(c).alias(f"_m_{c}") for c in columns])
     return (
         df.join(means, key, "left")
         .withColumns({c: F.coalesce(c, f"_m_{c}") for c in columns})
@@ -196,7 +196,7 @@ def fill_with_station_mean(df: DataFrame, columns: Iterable[str], key: str = S.S
 def fill_with_global_mean(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Replace NULL by the mean of the whole column, a scalar subquery."""
     columns = present(df, columns)
-    row = df.agg(*[exact_mean(F.col(c)).alias(c) for c in columns])
+    row = df.agg(*[mean(c).alias(c) for c in columns])
     filled = {c: F.coalesce(F.col(c), F.col(f"_means.{c}")) for c in columns}
     return lineage.with_scalar(df, row, "_means").withColumns(filled).drop("_means")
 
@@ -228,7 +228,7 @@ def _fill_values(local: DataFrame, columns: list[str], key: str, order: str) ->
     summary = local.groupBy(key, slices.SLICE).agg(
         F.count("*").alias("_rows"),
         *slices.last_value_summary({f"_l_{c}": F.col(c) for c in columns}, order),
-        *[F.sum(units(F.col(f"_in_{c}"))).alias(f"_s_{c}") for c in columns],
+        *[F.sum(units(f"_in_{c}")).alias(f"_s_{c}") for c in columns],
         *[F.count(f"_in_{c}").alias(f"_k_{c}") for c in columns],
     )
     before, station = slices.earlier_slices(key), Window.partitionBy(key)
@@ -240,7 +240,7 @@ def _fill_values(local: DataFrame, columns: list[str], key: str, order: str) ->
         {
             **{
                 f"_s_{c}": F.coalesce(F.col(f"_s_{c}"), F.lit(0))
-                + F.coalesce(units(F.col(f"_c_{c}")), F.lit(0)) * head[c]
+                + F.coalesce(units(f"_c_{c}"), F.lit(0)) * head[c]
                 for c in columns
             },
             **{f"_k_{c}": F.col(f"_k_{c}") + head[c] for c in columns},
@@ -264,7 +264,7 @@ def _global_means(fills: DataFrame, columns: list[str]) -> DataFrame:
     for c in columns:
         open_rows = F.when(F.col(f"_m_{c}").isNotNull(), F.col("_rows") - F.col(f"_k_{c}")).otherwise(0)
         total = F.sum(F.col(f"_s_{c}").cast("decimal(20,0)")) + F.sum(
-            (F.coalesce(units(F.col(f"_m_{c}")), F.lit(0)) * open_rows).cast("decimal(20,0)")
+            (F.coalesce(units(f"_m_{c}"), F.lit(0)) * open_rows).cast("decimal(20,0)")
         )
         filled = F.sum(F.col(f"_k_{c}") + open_rows)
         aggregates.append(

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,25 +15,25 @@ def sub_indices(df: DataFrame, standard: str = "US_EPA", gap_policy: str = "null
     """``sub_index_<p>`` and ``extrapolated_sub_<p>`` for every pollutant column."""
     S.categories(standard)
     pollutants = present(df, S.POLLUTANTS)
-    lines = df.withColumns(
+    # One projection per step: a value used several times is computed once.
+    numbers = df.withColumns({f"_n_{p}": ix.bracket_number(p, p, standard, gap_policy) for p in pollutants})
+    lines = numbers.withColumns(
         {
-            f"extrapolated_sub_{p}": ix.extrapolated_sub_index(F.col(p), p, standard, gap_policy)
+            f"extrapolated_sub_{p}": ix.bracket_line(p, f"_n_{p}", p, standard, gap_policy)
             for p in pollutants
         }
     )
     return lines.withColumns(
         {
-            f"sub_index_{p}": ix.sub_index(
-                F.col(p), p, standard, gap_policy, extrapolated=F.col(f"extrapolated_sub_{p}")
-            )
+            f"sub_index_{p}": ix.sub_index(p, p, standard, gap_policy, line=f"extrapolated_sub_{p}")
             for p in pollutants
         }
-    )
+    ).drop(*[f"_n_{p}" for p in pollutants])
 
 
 def research_sub_indices(df: DataFrame, standard: str = "US_EPA") -> DataFrame:
     return df.withColumns(
-        {f"research_sub_{p}": ix.research_sub_index(F.col(p), p, standard) for p in present(df, S.POLLUTANTS)}
+        {f"research_sub_{p}": ix.research_sub_index(p, p, standard) for p in present(df, S.POLLUTANTS)}
     )
 
 
@@ -47,29 +44,24 @@ def aqi_enrich(df: DataFrame, standard: str = "US_EPA", gap_policy: str = "null"
     for a batch and for a stream.
     """
     pollutants = present(df, S.POLLUTANTS)
-    subs = {p: F.col(f"sub_index_{p}") for p in pollutants}
     if pollutants:
-        beyond = reduce(or_, [ix.beyond_table(F.col(p), p, standard) for p in pollutants])
+        beyond = ix.beyond_table(pollutants, standard)
         totals = {
-            "aqi": ix.overall_index(list(subs.values())),
-            "extrapolated_aqi": ix.highest([F.col(f"extrapolated_sub_{p}") for p in pollutants]),
+            "aqi": ix.overall_index([f"sub_index_{p}" for p in pollutants]),
+            "extrapolated_aqi": ix.highest([f"extrapolated_sub_{p}" for p in pollutants]),
         }
     else:
         beyond = F.lit(False)
         totals = {name: F.lit(None).cast("double") for name in ("aqi", "extrapolated_aqi")}
     flags = {"is_aqi_out_of_range": beyond, "aqi_exceedance_flag": beyond}
     enriched = sub_indices(df, standard, gap_policy).withColumns({**totals, **flags})
-    return enriched.withColumns(
-        {
-            "dominant_pollutant": ix.dominant(F.col("aqi"), subs),
-            "aqi_category": ix.category_label(F.col("aqi"), F.col("is_aqi_out_of_range"), standard),
-        }
-    ).drop(*[f"extrapolated_sub_{p}" for p in pollutants])
+    labels = {"dominant_pollutant": ix.dominant(pollutants), "aqi_category": ix.category_label(standard=standard)}
+    return enriched.withColumns(labels).drop(*[f"extrapolated_sub_{p}" for p in pollutants])
 
 
 def category_details(df: DataFrame, standard: str = "US_EPA", column: str = "aqi") -> DataFrame:
     """Category, colour and advice of an index column."""
-    return df.withColumn("_info", ix.category_info(F.col(column), standard)).select(*df.columns, "_info.*")
+    return df.withColumn("_info", ix.category_info(column, standard)).select(*df.columns, "_info.*")
 
 
 def temporal_features(df: DataFrame, column: str = S.TIME) -> DataFrame:

@@ -74,7 +74,7 @@ def _cells(df: DataFrame, keys: list[str], measures: list[str], extra: list[Colu
         F.count("*").alias("_rows"),
         F.min("aqi").alias("_min"),
         F.max("aqi").alias("_max"),
-        *[part for m in measures for part in N.partial_sums(F.col(m), m)],
+        *[part for m in measures for part in N.partial_sums(m, m)],
         *extra,
     )
 
@@ -90,14 +90,14 @@ def _merge(measures: list[str]) -> list[Column]:
 
 def _index_columns() -> list[Column]:
     return [
-        F.round(N.mean_from("aqi"), 2).alias("mean_aqi"),
+        N.mean_from("aqi", 2).alias("mean_aqi"),
         F.round("_min", 2).alias("min_aqi"),
         F.round("_max", 2).alias("max_aqi"),
     ]
 
 
 def _mean_column(df: DataFrame, measure: str) -> Column:
-    value = F.round(N.mean_from(measure), 2) if measure in df.columns else F.lit(None).cast("double")
+    value = N.mean_from(measure, 2) if measure in df.columns else F.lit(None).cast("double")
     return value.alias(f"mean_{measure}")
 
 
@@ -226,7 +226,7 @@ def hotspots(df: DataFrame, threshold: float = 150.0) -> DataFrame:
             *keys,
             F.col("_rows").alias("total_readings"),
             "unhealthy_count",
-            F.round(N.mean_from("aqi"), 2).alias("mean_aqi"),
+            N.mean_from("aqi", 2).alias("mean_aqi"),
             F.round("_max", 2).alias("max_aqi"),
         )
         .withColumn("unhealthy_pct", F.round(share, 2))
@@ -265,7 +265,7 @@ def station_rank(df: DataFrame, ascending: bool = False) -> DataFrame:
 def scope_kpis(df: DataFrame) -> DataFrame:
     """Mean of station means, greatest index, stations, top pollutant and rows in scope."""
     per_station = df.groupBy(S.STATION).agg(
-        F.round(N.exact_mean(F.col("aqi")), 2).alias("m"), F.round(F.max("aqi"), 2).alias("x"), F.count("*").alias("n")
+        N.mean("aqi", 2).alias("m"), F.round(F.max("aqi"), 2).alias("x"), F.count("*").alias("n")
     )
     top = (
         df.groupBy("dominant_pollutant")
@@ -274,7 +274,7 @@ def scope_kpis(df: DataFrame) -> DataFrame:
         .scalar()
     )
     return per_station.agg(
-        F.round(N.exact_mean(F.col("m")), 1).alias("mean_aqi"),
+        N.mean("m", 1).alias("mean_aqi"),
         F.round(F.max("x"), 1).alias("max_aqi"),
         F.count("*").alias("station_count"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("observations"),

@@ -52,7 +52,7 @@ def pollutant_summary(df: DataFrame) -> DataFrame:
     parts = []
     for c in present(df, [*S.POLLUTANTS, "aqi"]):
         parts += [
-            mean(F.col(c), 2).alias(f"{c}_avg"),
+            mean(c, 2).alias(f"{c}_avg"),
             F.round(F.min(c), 2).alias(f"{c}_min"),
             F.round(F.max(c), 2).alias(f"{c}_max"),
         ]
@@ -63,7 +63,7 @@ def aqi_statistics(df: DataFrame) -> DataFrame:
     return df.agg(
         F.round(F.min("aqi"), 1).alias("min_aqi"),
         F.round(F.max("aqi"), 1).alias("max_aqi"),
-        mean(F.col("aqi"), 1).alias("mean_aqi"),
+        mean("aqi", 1).alias("mean_aqi"),
         F.count_if("is_aqi_out_of_range").alias("out_of_range_count"),
     )
 
@@ -79,44 +79,46 @@ def exceedance(df: DataFrame) -> DataFrame:
 def sub_index_means(df: DataFrame) -> DataFrame:
     """Rows ``(pollutant, mean_sub_index)``; NULL sub-indices do not count."""
     active = [p for p in S.POLLUTANTS if f"sub_index_{p}" in df.columns]
-    row = df.agg(*[mean(F.col(f"sub_index_{p}")).alias(p.upper()) for p in active])
+    row = df.agg(*[mean(f"sub_index_{p}").alias(p.upper()) for p in active])
     return _tall(row, [p.upper() for p in active], "pollutant", "mean_sub_index")
 
 
 def correlation_matrix(df: DataFrame, places: int = 3, least_rows: int = 5) -> DataFrame:
     """Pearson correlation of every pair, tall: ``(var_a, var_b, r)``.
 
-    Rows with a NULL in any column are left out. Means come first, as a scalar subquery;
-    then one aggregate sums the products of the deviations, each variable against those
-    after it, so no value leaves its executor and large offsets do not cost precision.
+    Rows with a NULL in any column are left out. Each complete row becomes one row per
+    variable, aggregated on the map side to sums of products with all variables: one scan,
+    and at most thirteen rows leave a task. Values are shifted to the middle of their
+    physical range first, so that large offsets do not cost precision.
     """
     names = present(df, [*S.POLLUTANTS, *S.WEATHER, "aqi"])
-    complete = df.select(*[F.col(c).cast("double").alias(c) for c in names]).dropna()
-    averages = complete.agg(*[F.avg(c).alias(c) for c in names])
-    centred = lineage.with_scalar(complete, averages, "_mean").select(
-        *[(F.col(c) - F.col(f"_mean.{c}")).alias(c) for c in names]
+    limits = {**S.DOMAIN_LIMITS, "aqi": (0.0, 500.0)}
+    shifted = [f"CAST({c} AS DOUBLE) - {(limits[c][0] + limits[c][1]) / 2!r}D AS {c}" for c in names]
+    complete = df.select(*names).dropna().selectExpr(*shifted)
+    sums = (
+        complete.selectExpr(f"posexplode(array({', '.join(names)})) AS (i, x)", *names)
+        .groupBy("i")
+        .agg(
+            F.expr("count(*) AS n"),
+            F.expr("sum(x) AS total"),
+            F.expr(f"array({', '.join(f'sum(x * {c})' for c in names)}) AS products"),
+        )
     )
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    moments = centred.agg(
-        F.count("*").alias("_n"), *[F.sum(F.col(a) * F.col(b)).alias(f"{a}:{b}") for a, b in pairs]
+    # The matrix itself: as many rows as variables, gathered into one.
+    matrix = sums.agg(F.expr("array_sort(collect_list(struct(i, n, total, products))) AS m"))
+    labels = f"array({', '.join(repr(c) for c in names)})"
+    cells = matrix.selectExpr("m", f"posexplode({labels}) AS (a, var_a)").selectExpr(
+        "m", "a", "var_a", f"posexplode({labels}) AS (b, var_b)"
     )
 
-    def product(a: str, b: str) -> Column:
-        first, second = sorted((a, b), key=names.index)
-        return F.col(f"`{first}:{second}`")
-
-    def r(a: str, b: str) -> Column:
-        scale = F.sqrt(product(a, a)) * F.sqrt(product(b, b))
-        value = F.round(F.try_divide(product(a, b), scale), places)
-        enough = F.col("_n") >= least_rows
-        return F.when(enough, F.coalesce(value, F.lit(0.0))).otherwise(F.lit(0.0))
+    def deviation(i: str, j: str) -> str:
+        return f"(get(get(m, {i}).products, {j}) - get(m, {i}).total * get(m, {j}).total / get(m, {i}).n)"
 
-    rows = [
-        F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), r(a, b).alias("r"))
-        for a in names
-        for b in names
-    ]
-    return moments.select(F.inline(F.array(*rows)))
+    scale = f"sqrt({deviation('a', 'a')} * {deviation('b', 'b')})"
+    r = f"coalesce(round(try_divide({deviation('a', 'b')}, {scale}), {places}), 0.0D)"
+    return cells.selectExpr(
+        "var_a", "var_b", f"CASE WHEN get(m, 0).n >= {least_rows} THEN {r} ELSE 0.0D END AS r"
+    )
 
 
 def enough_rows(df: DataFrame, columns: Iterable[str], least: int = 5) -> DataFrame:

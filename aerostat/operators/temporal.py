@@ -17,11 +17,11 @@ def _low_high(column: str, low: str, high: str) -> list[Column]:
 
 
 def _pollutant_means(df: DataFrame, prefix: str, places: int | None = 2) -> list[Column]:
-    return [mean(F.col(p), places).alias(f"{prefix}_{p}") for p in present(df, S.POLLUTANTS)]
+    return [mean(p, places).alias(f"{prefix}_{p}") for p in present(df, S.POLLUTANTS)]
 
 
 def _mean_or_null(df: DataFrame, column: str, name: str) -> Column:
-    value = mean(F.col(column), 2) if column in df.columns else F.lit(None).cast("double")
+    value = mean(column, 2) if column in df.columns else F.lit(None).cast("double")
     return value.alias(name)
 
 
@@ -30,7 +30,7 @@ def hourly_profile(df: DataFrame) -> DataFrame:
     return (
         df.groupBy(F.hour(S.TIME).alias("hour"))
         .agg(
-            mean(F.col("aqi"), 2).alias("avg_aqi"),
+            mean("aqi", 2).alias("avg_aqi"),
             *_low_high("aqi", "min_aqi", "max_aqi"),
             F.count("*").alias("sample_count"),
             *_pollutant_means(df, "avg"),
@@ -43,7 +43,7 @@ def daily_analytics(df: DataFrame) -> DataFrame:
     return (
         df.groupBy(F.to_date(S.TIME).alias("date"))
         .agg(
-            mean(F.col("aqi"), 2).alias("mean_aqi"),
+            mean("aqi", 2).alias("mean_aqi"),
             *_low_high("aqi", "min_aqi", "max_aqi"),
             F.count("*").alias("total_readings"),
             *_pollutant_means(df, "mean"),
@@ -55,7 +55,7 @@ def daily_analytics(df: DataFrame) -> DataFrame:
 def monthly_analytics(df: DataFrame) -> DataFrame:
     """Grouped by two integers; the month's text is made once per group."""
     monthly = df.groupBy(F.year(S.TIME).alias("year"), F.month(S.TIME).alias("month")).agg(
-        mean(F.col("aqi"), 2).alias("mean_aqi"),
+        mean("aqi", 2).alias("mean_aqi"),
         F.round(F.max("aqi"), 2).alias("peak_aqi"),
         _mean_or_null(df, "pm2_5", "mean_pm2_5"),
         F.count("*").alias("record_count"),
@@ -68,7 +68,7 @@ def seasonal_analytics(df: DataFrame) -> DataFrame:
     return (
         df.groupBy(calendar.season(F.col(S.TIME)).alias("season"))
         .agg(
-            mean(F.col("aqi"), 2).alias("mean_aqi"),
+            mean("aqi", 2).alias("mean_aqi"),
             *_low_high("aqi", "min_aqi", "max_aqi"),
             _mean_or_null(df, "pm2_5", "avg_pm2_5"),
             F.count("*").alias("total_records"),
@@ -79,14 +79,14 @@ def seasonal_analytics(df: DataFrame) -> DataFrame:
 
 def daily_trend(df: DataFrame) -> DataFrame:
     """Unrounded mean index per date, for a scope already filtered."""
-    return df.groupBy(F.to_date(S.TIME).alias("date")).agg(mean(F.col("aqi")).alias("mean_aqi")).orderBy("date")
+    return df.groupBy(F.to_date(S.TIME).alias("date")).agg(mean("aqi").alias("mean_aqi")).orderBy("date")
 
 
 def hour_curve(df: DataFrame) -> DataFrame:
     """Unrounded means per hour of day; an absent pollutant shows the index instead."""
-    means = [mean(F.col(p if p in df.columns else "aqi")).alias(f"avg_{p}") for p in S.POLLUTANTS]
+    means = [mean(p if p in df.columns else "aqi").alias(f"avg_{p}") for p in S.POLLUTANTS]
     return (
-        df.groupBy(F.hour(S.TIME).alias("hour")).agg(mean(F.col("aqi")).alias("avg_aqi"), *means).orderBy("hour")
+        df.groupBy(F.hour(S.TIME).alias("hour")).agg(mean("aqi").alias("avg_aqi"), *means).orderBy("hour")
     )
 
 

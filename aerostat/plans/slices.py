@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from aerostat import schema as S
 from aerostat.functions.calendar import epoch
-from aerostat.functions.numeric import exact_sum
+from aerostat.functions.numeric import running_sum
 
 DAY = 86_400
 SLICE = "_slice"
@@ -198,7 +198,7 @@ def trailing_mean(
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     present = F.when(F.col("value").isNotNull(), F.col("sign"))
-    total = exact_sum(F.col("value") * F.col("sign"), over=running)
+    total = running_sum("value * sign", running)
     mean = F.try_divide(total, F.sum(present).over(running).cast("double"))
     result = mean if places is None else F.round(mean, places)
     return (

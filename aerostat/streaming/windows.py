@@ -28,14 +28,14 @@ def window_pollutants(
 
     Without ``slide`` the windows are tumbling.
     """
-    others = [mean(F.col(p), 2).alias(f"avg_{p}") for p in S.POLLUTANTS[1:]]
+    others = [mean(p, 2).alias(f"avg_{p}") for p in S.POLLUTANTS[1:]]
     return _windowed(
         df,
         watermark,
         window,
         slide,
         [
-            mean(F.col("pm2_5"), 2).alias("avg_pm2_5"),
+            mean("pm2_5", 2).alias("avg_pm2_5"),
             F.round(F.max("pm2_5"), 2).alias("max_pm2_5"),
             *others,
             F.count("*").alias("window_readings_count"),
@@ -54,9 +54,9 @@ def window_aqi(
         slide,
         [
             F.count("*").alias("record_count"),
-            mean(F.col("aqi"), 1).alias("avg_aqi"),
+            mean("aqi", 1).alias("avg_aqi"),
             F.round(F.max("aqi"), 1).alias("max_aqi"),
-            mean(F.col("pm2_5"), 1).alias("avg_pm2_5"),
+            mean("pm2_5", 1).alias("avg_pm2_5"),
             F.round(F.max("pm2_5"), 1).alias("max_pm2_5"),
         ],
     )

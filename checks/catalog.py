@@ -21,6 +21,7 @@ from aerostat.operators import (
     temporal,
 )
 from aerostat.plans import batch, lineage, slices
+from aerostat.session import tune
 from aerostat.sources import files
 from aerostat.streaming import alerts as stream_alerts
 from aerostat.streaming import sinks, sources, windows
@@ -40,8 +41,7 @@ def add(name: str, oracle: str | None = None):
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return T.plain(fn(spark, sf_dir))
+            return T.plain(fn(tune(spark), sf_dir))
 
         QUERIES[name] = run
         if oracle is not None:
@@ -319,7 +319,7 @@ def _(spark, sf):
 @add("category_label", f"SELECT {KEYS}, aqi, aqi_category FROM idx")
 def _(spark, sf):
     rows = T.indexed(spark, sf)
-    label = ix.category_label(F.col("aqi"), F.col("is_aqi_out_of_range"))
+    label = ix.category_label()
     return rows.select(S.STATION, S.TIME, "aqi", label.alias("aqi_category"))
 
 
@@ -370,7 +370,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     names = [f"extrapolated_sub_{p}" for p in POL]
-    total = ix.highest([F.col(n) for n in names]).alias("extrapolated_aqi")
+    total = ix.highest(names).alias("extrapolated_aqi")
     return indexing.sub_indices(T.readings(spark, sf)).select(S.STATION, S.TIME, *names, total)
 
 
