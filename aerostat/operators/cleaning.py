@@ -274,15 +274,25 @@ def _global_means(fills: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def clean_measurements(
-    df: DataFrame, columns: list[str], label: str, width: int = slices.DAY, audit: bool = False
+    df: DataFrame,
+    columns: list[str],
+    label: str,
+    width: int = slices.DAY,
+    audit: bool = False,
+    stage: bool = True,
 ) -> DataFrame:
     """Normalise, drop invalid keys, de-duplicate, flag and cap, impute.
 
-    With ``audit`` two helper columns per measurement stay for the quality report:
-    whether it was missing before imputation, and the number of copies of the row.
+    With ``stage`` the unique rows and the imputed rows are written to the shared folder:
+    later steps read each of them more than once, and neither the raw scan nor the
+    de-duplication is repeated for that, not even after the loss of an executor.
+
+    With ``audit`` helper columns stay for the quality report: whether a measurement was
+    missing before imputation, and the number of copies of the row.
     """
     require_columns(df, S.REQUIRED["air_quality"], label)
     columns = present(df, columns)
+    keep = lineage.materialise if stage else (lambda frame, _name: frame)
     unique = deduplicate(
         valid_keys(standardize_strings(nan_to_null(normalize_timestamps(df), columns), [S.STATION])),
         copies="_copies" if audit else None,
@@ -290,17 +300,24 @@ def clean_measurements(
     if audit:
         unique = unique.withColumns({f"_absent_{c}": F.col(c).isNull() for c in columns})
     limits = {c: S.DOMAIN_LIMITS[c] for c in columns if c in S.DOMAIN_LIMITS}
-    return impute(domain_cap(domain_flags(unique, limits), limits), columns, width)
+    capped = keep(domain_cap(domain_flags(unique, limits), limits), "unique")
+    return keep(impute(capped, columns, width), "imputed")
 
 
-def clean_readings(df: DataFrame, width: int = slices.DAY, quantile_method: str = "exact", audit: bool = False):
+def clean_readings(
+    df: DataFrame,
+    width: int = slices.DAY,
+    quantile_method: str = "exact",
+    audit: bool = False,
+    stage: bool = True,
+) -> DataFrame:
     """Air-quality readings ready for integration, with domain and statistical flags."""
-    cleaned = clean_measurements(df, S.POLLUTANTS, "Air Quality", width, audit)
+    cleaned = clean_measurements(df, S.POLLUTANTS, "Air Quality", width, audit, stage)
     return iqr_flags(cleaned, S.POLLUTANTS, S.IQR_MULTIPLIER, quantile_method)
 
 
-def clean_weather(df: DataFrame, width: int = slices.DAY, audit: bool = False) -> DataFrame:
-    return clean_measurements(df, S.WEATHER, "Weather", width, audit)
+def clean_weather(df: DataFrame, width: int = slices.DAY, audit: bool = False, stage: bool = True) -> DataFrame:
+    return clean_measurements(df, S.WEATHER, "Weather", width, audit, stage)
 
 
 def clean_stations(df: DataFrame) -> DataFrame:
