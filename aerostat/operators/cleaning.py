@@ -182,15 +182,29 @@ def forward_fill(
     return slices.last_known(df, {c: F.col(c) for c in columns}, True, width, key, order)
 
 
-def fill_with_station_mean(df: DataFrame, columns: Iterable[str], key: str = S.STATION) -> DataFrame:
-    """Replace NULL by the station's mean. Means are partially aggregated, then joined."""
+def fill_with_station_mean(
+    df: DataFrame, columns: Iterable[str], width: int = slices.DAY, key: str = S.STATION, order: str = S.TIME
+) -> DataFrame:
+    """Replace NULL by the station's mean.
+
+    Sums are taken per slice and totalled per station over that small table; the mean comes
+    back by (station, slice), so a busy station's rows stay spread.
+    """
     columns = present(df, columns)
-    means = df.groupBy(key).agg(*[mean(c).alias(f"_m_{c}") for c in columns])
-    return (
-        df.join(means, key, "left")
-        .withColumns({c: F.coalesce(c, f"_m_{c}") for c in columns})
-        .select(*df.columns)
+    sliced = slices.cut(df, width, order)
+    parts = sliced.groupBy(key, slices.SLICE).agg(
+        *[F.sum(units(c)).alias(f"_s_{c}") for c in columns], *[F.count(c).alias(f"_k_{c}") for c in columns]
     )
+    means = parts.select(key, slices.SLICE, *[_station_mean(c, key).alias(f"_m_{c}") for c in columns])
+    filled = {c: F.coalesce(c, f"_m_{c}") for c in columns}
+    return slices.attach(sliced, means, key).withColumns(filled).select(*df.columns)
+
+
+def _station_mean(column: str, key: str) -> Column:
+    """Mean over all slices of a station, from their sums ``_s_`` and counts ``_k_``."""
+    station = Window.partitionBy(key)
+    total = F.sum(F.col(f"_s_{column}").cast("decimal(20,0)")).over(station).cast("double") / F.lit(GRID)
+    return F.try_divide(total, F.sum(f"_k_{column}").over(station).cast("double"))
 
 
 def fill_with_global_mean(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -231,7 +245,7 @@ def _fill_values(local: DataFrame, columns: list[str], key: str, order: str) ->
         *[F.sum(units(f"_in_{c}")).alias(f"_s_{c}") for c in columns],
         *[F.count(f"_in_{c}").alias(f"_k_{c}") for c in columns],
     )
-    before, station = slices.earlier_slices(key), Window.partitionBy(key)
+    before = slices.earlier_slices(key)
     carried = summary.withColumns(
         {f"_c_{c}": F.last(f"_l_{c}", ignorenulls=True).over(before) for c in columns}
     )
@@ -247,15 +261,7 @@ def _fill_values(local: DataFrame, columns: list[str], key: str, order: str) ->
         }
     )
     # A station's slices are few, so these windows see the summary and never the readings.
-    return filled.withColumns(
-        {
-            f"_m_{c}": F.try_divide(
-                F.sum(F.col(f"_s_{c}").cast("decimal(20,0)")).over(station).cast("double") / F.lit(GRID),
-                F.sum(f"_k_{c}").over(station).cast("double"),
-            )
-            for c in columns
-        }
-    )
+    return filled.withColumns({f"_m_{c}": _station_mean(c, key) for c in columns})
 
 
 def _global_means(fills: DataFrame, columns: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aerostat import schema as S
 from aerostat.operators import cleaning, indexing, spatial
+from aerostat.plans import slices
 from aerostat.sources import files
 from checks import tables as T
 from checks.catalog import QUERIES
@@ -47,12 +48,30 @@ def test_time_range_prunes_partitions(spark, tmp_path):
     assert df.select("year", "month").distinct().count() == 2
 
 
-def test_imputation_shuffles_the_readings_once_per_branch(spark):
-    """Readings cross the network by (station, slice); everything by station alone is a summary."""
-    text = plan(cleaning.impute(T.readings(spark, SF_DIR), S.POLLUTANTS))
-    by_station = re.findall(r"Exchange hashpartitioning\(station_id#\d+L, \d+\)", text)
-    wide = [m for m in by_station if "event" in m]
-    assert not wide and "hashpartitioning(station_id" in text
+def test_readings_are_never_shuffled_by_station_alone(spark):
+    """What crosses the network by station is a summary with one row per slice."""
+    rows = T.readings(spark, SF_DIR)
+    for df in (
+        cleaning.impute(rows, S.POLLUTANTS),
+        cleaning.fill_with_station_mean(rows, S.POLLUTANTS),
+        slices.previous_rows(rows, {"p": "pm2_5"}, 3),
+        slices.trailing_mean(rows, "pm2_5", 3600, "m"),
+    ):
+        assert_summaries_only(plan(df))
+
+
+def assert_summaries_only(text: str) -> None:
+    lines = text.splitlines()
+    for i, line in enumerate(lines):
+        if re.search(r"Exchange hashpartitioning\(station_id#\d+L?, \d+\)", line):
+            assert re.search(r"HashAggregate|ObjectHashAggregate|SortAggregate|Project", lines[i + 1])
+            below = " ".join(lines[i + 1 : i + 6])
+            assert "Aggregate" in below, below
+
+
+def test_tail_rows_are_limited_before_the_shuffle(spark):
+    text = plan(slices.previous_rows(T.readings(spark, SF_DIR), {"p": "pm2_5"}, 3))
+    assert re.search(r"WindowGroupLimit .*Partial", text)
 
 
 def test_summary_aggregates_before_the_shuffle(spark):
