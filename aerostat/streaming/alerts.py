@@ -1,4 +1,8 @@
-"""Alerts on a stream: one number of state per station, rules as column expressions."""
+"""Alerts on a stream: one number of state per station, rules as column expressions.
+
+``alert_stream`` keeps the state in Spark's state store and gives a streaming frame;
+``alert_table_run`` keeps it in a table and splits even a station that fills a micro-batch.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +11,13 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from aerostat import schema as S
 from aerostat.operators import alerting
+from aerostat.plans import lineage, slices
+from aerostat.streaming import sinks
 
 
 def alert_stream(indexed: DataFrame, thresholds: dict[str, float] | None = None) -> DataFrame:
@@ -52,3 +59,51 @@ def _add_previous(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState)
     if pd.notna(last):
         state.update((float(last),))
     yield rows.assign(prev_pm2_5=previous)
+
+
+def alert_table_run(
+    indexed: DataFrame,
+    path: str,
+    checkpoint: str,
+    seconds: float | None = 600,
+    thresholds: dict[str, float] | None = None,
+    width: int = slices.DAY,
+) -> StreamingQuery:
+    """Write the alerts of a stream under ``path/alerts``, micro-batch by micro-batch.
+
+    Each micro-batch runs the batch operator, whose windows are sliced, and takes what came
+    before it from a table with the last PM2.5 of each station. Two state folders alternate:
+    a repeated micro-batch reads the one its predecessor left and overwrites its own output.
+    """
+    key = indexed.schema[S.STATION]
+    state_schema = f"{S.STATION} {key.dataType.simpleString()}, last_pm2_5 double"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = lineage.materialise(batch.select(S.STATION, S.TIME, "aqi", "pm2_5"), "alert-batch")
+        if batch_id:
+            known = spark.read.schema(state_schema).parquet(f"{path}/state/{(batch_id - 1) % 2}")
+        else:
+            known = spark.createDataFrame([], state_schema)
+        seen = alerting.previous_reading(rows, width).join(known, S.STATION, "left")
+        seen = seen.withColumn("prev_pm2_5", F.coalesce("prev_pm2_5", "last_pm2_5")).drop("last_pm2_5")
+        found = alerting.payload(alerting.apply_rules(seen, thresholds))
+        found.write.mode("overwrite").parquet(f"{path}/alerts/batch_id={batch_id}")
+        complete = F.when(F.col("aqi").isNotNull(), F.col("pm2_5"))
+        newest = (
+            rows.groupBy(S.STATION)
+            .agg(*slices.last_value_summary({"last_pm2_5": complete}))
+            .filter(F.col("last_pm2_5").isNotNull())
+        )
+        state = known.join(newest, S.STATION, "left_anti").unionByName(newest)
+        state.write.mode("overwrite").parquet(f"{path}/state/{batch_id % 2}")
+
+    return sinks.batch_run(indexed, handle, checkpoint, seconds)
+
+
+def alert_table(indexed: DataFrame, seconds: float | None = 600) -> DataFrame:
+    """Run :func:`alert_table_run` into the shared folder and return all alerts."""
+    spark = indexed.sparkSession
+    path = lineage.scratch_path(spark, "alerts")
+    alert_table_run(indexed, path, lineage.scratch_path(spark, "offsets"), seconds)
+    return spark.read.parquet(f"{path}/alerts").drop("batch_id")

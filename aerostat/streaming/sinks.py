@@ -20,6 +20,19 @@ def _finish(query: StreamingQuery, seconds: float | None) -> StreamingQuery:
     return query
 
 
+def batch_run(
+    stream: DataFrame, handle, checkpoint: str, seconds: float | None = 600, mode: str = "append"
+) -> StreamingQuery:
+    """Give each micro-batch to ``handle(frame, batch_id)``, which must be idempotent per id."""
+    writer = (
+        stream.writeStream.outputMode(mode)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(handle)
+    )
+    return _finish(writer.start(), seconds)
+
+
 def bounded_run(
     stream: DataFrame,
     path: str,
@@ -65,13 +78,7 @@ def snapshot_run(stream: DataFrame, path: str, checkpoint: str, seconds: float |
     def replace(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(path)
 
-    writer = (
-        stream.writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(replace)
-    )
-    return _finish(writer.start(), seconds)
+    return batch_run(stream, replace, checkpoint, seconds, "complete")
 
 
 def snapshot_table(stream: DataFrame, seconds: float | None = 600) -> DataFrame:
@@ -104,13 +111,7 @@ def report_run(
         batch.write.mode("overwrite").option("header", True).csv(f"{rows_path}/{part}")
         batch.filter(is_alert).write.mode("overwrite").json(f"{alerts_path}/{part}")
 
-    writer = (
-        stream.writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(write)
-    )
-    return _finish(writer.start(), seconds)
+    return batch_run(stream, write, checkpoint, seconds)
 
 
 def late_rows(query: StreamingQuery) -> int:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerostat import schema as S
-from aerostat.functions import calendar, places
+from aerostat.functions import places
 from aerostat.functions import index as ix
 from aerostat.operators import (
     alerting,
@@ -20,7 +20,7 @@ from aerostat.operators import (
     statistics,
     temporal,
 )
-from aerostat.plans import batch, lineage, slices
+from aerostat.plans import batch, lineage
 from aerostat.session import tune
 from aerostat.sources import files
 from aerostat.streaming import alerts as stream_alerts
@@ -1128,6 +1128,11 @@ def _(spark, sf):
     return sinks.bounded_table(stream_alerts.alert_stream(index_stream(spark, sf)))
 
 
+@add("alert_stream_sliced", ALERTS)
+def _(spark, sf):
+    return stream_alerts.alert_table(index_stream(spark, sf))
+
+
 @add("report_sink", STATE_SUMMARY)
 def _(spark, sf):
     summary = spatial.state_summary(T.fact(spark, sf))

@@ -49,6 +49,21 @@ def test_alert_state_crosses_batches(spark, tmp_path):
     want = alerting.alerts(table)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
     assert [r.alert_type for r in found.collect()] == ["RAPID_CHANGE_ALERT"]
+    again = alerts.alert_table(feed(spark, tmp_path / "again", *batches))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_both_alert_streams_agree_on_a_busy_station(spark, tmp_path):
+    def value(i):
+        return None if i % 5 == 0 else float((i * 37) % 180)
+
+    rows = [reading(i, None if i % 7 == 0 else float((i * 53) % 400), value(i), "A" if i % 3 else "B") for i in range(120)]
+    batches = [rows[:40], rows[40:80], rows[80:]]
+    want = sorted(map(tuple, alerting.alerts(spark.createDataFrame(rows, ROW)).collect()))
+    stored = sinks.bounded_table(alerts.alert_stream(feed(spark, tmp_path / "s", *batches)))
+    sliced = alerts.alert_table(feed(spark, tmp_path / "t", *batches))
+    assert sorted(map(tuple, stored.collect())) == want
+    assert sorted(map(tuple, sliced.collect())) == want
 
 
 def test_duplicates_within_the_watermark(spark, tmp_path):
