@@ -11,7 +11,9 @@ from aerostat.llm import (
     class_lm,
     decontamination,
     exact_dedup,
+    jaccard_join,
     language_id,
+    line_dedup,
     quality,
     sentencepiece,
     sharding,
@@ -70,6 +72,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
+
+
 def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = remainder(F.col("doc_id"), 7) == 2
@@ -93,6 +100,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "held_out", "told.lang_pred", "told.score")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = whole(F.col("text"))
     rows = table(spark, sf_dir, "documents").select(
@@ -116,8 +127,10 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality": op4_quality,
+    "op5_line_dedup": op5_line_dedup,
     "op6_class_lm": op6_class_lm,
     "op8_language_id": op8_language_id,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_sharding": op10_sharding,
 }
 
