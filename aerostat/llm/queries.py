@@ -11,6 +11,7 @@ from aerostat.llm import (
     class_lm,
     decontamination,
     exact_dedup,
+    html_extraction,
     jaccard_join,
     language_id,
     line_dedup,
@@ -92,6 +93,14 @@ def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    trees = html_extraction.learn_trees(pages)
+    return pages.select("page_id", "url", html_extraction.main_text(F.col("html"), trees).alias("text")).withColumn(
+        "n_chars", F.length("text").cast("long")
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = remainder(F.col("doc_id"), 5) == 0
@@ -129,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality": op4_quality,
     "op5_line_dedup": op5_line_dedup,
     "op6_class_lm": op6_class_lm,
+    "op7_html_extraction": op7_html_extraction,
     "op8_language_id": op8_language_id,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_sharding": op10_sharding,
