@@ -125,6 +125,9 @@ def compare(left: pd.DataFrame, right: pd.DataFrame | None, threshold: float, fe
 
     The frames have ``sig`` and ``set`` as bytes.
     """
+    if not len(left) or (right is not None and not len(right)):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+
     def matrix(f: pd.DataFrame) -> np.ndarray:
         return np.frombuffer(b"".join(f["sig"]), np.uint32).reshape(len(f), -1)
 
@@ -156,7 +159,7 @@ def compare(left: pd.DataFrame, right: pd.DataFrame | None, threshold: float, fe
 
 
 def _products(own: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections, by products of incidence matrices, some shingles at a time."""
+    """Sizes of the intersections of different sets, by products of incidence matrices, some shingles at a time."""
     every, n = np.unique(np.concatenate([*own, *([] if other is own else other)]), return_counts=True)
     every = every[n > 1]
     out = np.zeros((len(own), len(other)), np.int64)

@@ -84,7 +84,8 @@ class Model:
             close = np.maximum(np.take_along_axis(near, top, 1), 1e-6).astype(float) ** SHARPNESS
             vote = self.votes[top] * close
             good = np.where(vote > 0, vote, 0).sum(1)
-            out[start : start + BLOCK] = good / np.abs(vote).sum(1)
+            # A text that shares no term with the labelled ones is as near to all of them.
+            out[start : start + BLOCK] = np.where(z.any(1), good / np.abs(vote).sum(1), 0.5)
         return out
 
 

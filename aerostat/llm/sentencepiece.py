@@ -28,7 +28,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MARK = "▁"
-REMEMBERED = 300_000  # words, and pairs of pieces, that a task holds
+REMEMBERED = 100_000  # words of a generation, and pairs of pieces, that a task holds
 LONG = 64  # longer words are not remembered
 _INF = float("inf")
 
@@ -125,8 +125,11 @@ class Coder:
         self.model = model
         self.score = {piece: score for piece, (_, score) in model.pieces.items()}.get
         self.longest = max(map(len, model.pieces), default=1)
+        self.reach: dict[str, int] = {}  # the longest piece by its first two characters
+        for piece in model.pieces:
+            self.reach[piece[:2]] = max(self.reach.get(piece[:2], 1), len(piece))
         self.words = _Words(self)
-        self.follows = lru_cache(2 * REMEMBERED)(self._follows)
+        self.follows = lru_cache(REMEMBERED)(self._follows)
         self.chunk = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
     def normal(self, text: str) -> str:
@@ -167,10 +170,10 @@ class Coder:
         A position is reached at cost 0 in one way only, so one that leads nowhere is never
         entered again, and the search is linear in the word.
         """
-        pieces, follows, n = self.model.pieces, self.follows, len(word)
+        pieces, follows, reach, n = self.model.pieces, self.follows, self.reach.get, len(word)
         dead: set[int] = set()
         out = [""]
-        start, end = 0, min(n, self.longest)
+        start, end = 0, min(n, reach(word[:2], 1))
         while start < n:
             while end > start:
                 arc = word[start:end]
@@ -179,7 +182,8 @@ class Coder:
                 end -= 1
             if end > start:
                 out.append(arc)
-                start, end = end, min(n, end + self.longest)
+                start = end
+                end = min(n, start + reach(word[start : start + 2], 1))
             else:
                 dead.add(start)
                 end = start - 1
@@ -280,10 +284,10 @@ def decode(ids: Column, model: Model) -> Column:
     def run(lists: pa.Array) -> pa.Array:
         if not made:
             made.append(Coder(model))
-        flat = lists.flatten().to_pylist()
+        flat = lists.flatten().to_numpy()
         out, at = [], 0
         for n in lists.value_lengths().to_pylist():
-            out.append(None if n is None else made[0].decode(flat[at : at + n]))
+            out.append(None if n is None else made[0].decode(flat[at : at + n].tolist()))
             at += n or 0
         return pa.array(out, pa.string())
 
