@@ -1,5 +1,6 @@
 """Streams over several files: late rows, restarts, alert state, repeats."""
 
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -28,10 +29,37 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     # A row is judged by the watermark of the batch before the last one.
     stream = feed(spark, tmp_path / "in", [reading(0)], [reading(120)], [reading(121)], [reading(1), reading(122)])
     counts = windows.window_aqi(stream, "10 minutes", slide=None)
-    query = sinks.bounded_run(counts, str(tmp_path / "out"), str(tmp_path / "cp"))
+    late = sinks.LateRows()
+    spark.streams.addListener(late)
+    query, drained = sinks.bounded_run(counts, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert drained
     out = spark.read.parquet(str(tmp_path / "out"))
     assert [r.record_count for r in out.orderBy("window_start").collect()] == [1]
-    assert sinks.late_rows(query) >= 1
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    deadline = time.time() + 20
+    while late.batches < len(query.recentProgress) and time.time() < deadline:
+        time.sleep(0.1)
+    spark.streams.removeListener(late)
+    assert late.total == sum(o.numRowsDroppedByWatermark for p in query.recentProgress for o in p.stateOperators) >= 1
+
+
+def test_a_run_that_is_stopped_says_so(spark, tmp_path):
+    stream = feed(spark, tmp_path / "in", *[[reading(i)] for i in range(40)])
+    with pytest.raises(TimeoutError):
+        sinks.bounded_table(stream, seconds=0.5)
+    _, drained = sinks.bounded_run(stream, str(tmp_path / "out"), str(tmp_path / "cp"), seconds=0.5)
+    assert not drained
+    _, drained = sinks.bounded_run(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert drained and spark.read.parquet(str(tmp_path / "out")).count() == 40
+
+
+def test_snapshots_stand_beside_each_other(spark, tmp_path):
+    path, counts = str(tmp_path / "out"), lambda: feed(spark, tmp_path / "in", [reading(0)], [reading(1)]).groupBy("station_id").count()
+    like = counts()
+    assert sinks.latest_snapshot(like, path).collect() == []
+    sinks.snapshot_run(like, path, str(tmp_path / "cp"))
+    (tmp_path / "out" / "batch_id=9").mkdir()  # a write that failed: no mark of completion
+    assert [r["count"] for r in sinks.latest_snapshot(like, path).collect()] == [2]
 
 
 def test_restart_adds_only_new_rows(spark, tmp_path):
