@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from aerostat import schema as S
 from aerostat.functions.calendar import parse_timestamp
-from aerostat.functions.numeric import GRID, mean, units
+from aerostat.functions.numeric import GRID, mean, rest, units
 from aerostat.plans import lineage, quantiles, slices
 
 
@@ -193,7 +193,9 @@ def fill_with_station_mean(
     columns = present(df, columns)
     sliced = slices.cut(df, width, order)
     parts = sliced.groupBy(key, slices.SLICE).agg(
-        *[F.sum(units(c)).alias(f"_s_{c}") for c in columns], *[F.count(c).alias(f"_k_{c}") for c in columns]
+        *[F.sum(units(c)).alias(f"_s_{c}") for c in columns],
+        *[F.sum(rest(c)).alias(f"_r_{c}") for c in columns],
+        *[F.count(c).alias(f"_k_{c}") for c in columns],
     )
     means = parts.select(key, slices.SLICE, *[_station_mean(c, key).alias(f"_m_{c}") for c in columns])
     filled = {c: F.coalesce(c, f"_m_{c}") for c in columns}
@@ -201,10 +203,10 @@ def fill_with_station_mean(
 
 
 def _station_mean(column: str, key: str) -> Column:
-    """Mean over all slices of a station, from their sums ``_s_`` and counts ``_k_``."""
+    """Mean over all slices of a station, from their sums ``_s_`` and ``_r_`` and counts ``_k_``."""
     station = Window.partitionBy(key)
     total = F.sum(F.col(f"_s_{column}").cast("decimal(20,0)")).over(station).cast("double") / F.lit(GRID)
-    return F.try_divide(total, F.sum(f"_k_{column}").over(station).cast("double"))
+    return F.try_divide(total + F.sum(f"_r_{column}").over(station), F.sum(f"_k_{column}").over(station).cast("double"))
 
 
 def fill_with_global_mean(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -216,7 +218,12 @@ def fill_with_global_mean(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def impute(
-    df: DataFrame, columns: Iterable[str], width: int = slices.DAY, key: str = S.STATION, order: str = S.TIME
+    df: DataFrame,
+    columns: Iterable[str],
+    width: int = slices.DAY,
+    key: str = S.STATION,
+    order: str = S.TIME,
+    stage: bool = False,
 ) -> DataFrame:
     """Forward fill, then the mean of the filled station, then the global mean of those.
 
@@ -224,11 +231,17 @@ def impute(
     and number of its values once filled from inside, and its row count. Rows at the head
     of a slice take the carried value, so a station's filled sum is known without filling
     its rows first. A column without any value stays NULL.
+
+    With ``stage`` the rows are written to the shared folder once they are filled inside
+    their slices: summary, carry and means then read that table, and the raw rows are
+    shuffled once.
     """
     columns = present(df, columns)
     sliced = slices.cut(df, width, order)
     frame = slices.inside(key, order).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.withColumns({f"_in_{c}": F.last(c, ignorenulls=True).over(frame) for c in columns})
+    if stage:
+        local = lineage.materialise(local, "filled")
     fills = _fill_values(local, columns, key, order)
     carry = fills.select(key, slices.SLICE, *[f"_{k}_{c}" for c in columns for k in "cm"])
     joined = lineage.with_scalar(slices.attach(local, carry, key), _global_means(fills, columns), "_all")
@@ -243,6 +256,7 @@ def _fill_values(local: DataFrame, columns: list[str], key: str, order: str) ->
         F.count("*").alias("_rows"),
         *slices.last_value_summary({f"_l_{c}": F.col(c) for c in columns}, order),
         *[F.sum(units(f"_in_{c}")).alias(f"_s_{c}") for c in columns],
+        *[F.sum(rest(f"_in_{c}")).alias(f"_r_{c}") for c in columns],
         *[F.count(f"_in_{c}").alias(f"_k_{c}") for c in columns],
     )
     before = slices.earlier_slices(key)
@@ -257,6 +271,11 @@ def _fill_values(local: DataFrame, columns: list[str], key: str, order: str) ->
                 + F.coalesce(units(f"_c_{c}"), F.lit(0)) * head[c]
                 for c in columns
             },
+            **{
+                f"_r_{c}": F.coalesce(F.col(f"_r_{c}"), F.lit(0.0))
+                + F.coalesce(rest(f"_c_{c}"), F.lit(0.0)) * head[c]
+                for c in columns
+            },
             **{f"_k_{c}": F.col(f"_k_{c}") + head[c] for c in columns},
         }
     )
@@ -272,9 +291,10 @@ def _global_means(fills: DataFrame, columns: list[str]) -> DataFrame:
         total = F.sum(F.col(f"_s_{c}").cast("decimal(20,0)")) + F.sum(
             (F.coalesce(units(f"_m_{c}"), F.lit(0)) * open_rows).cast("decimal(20,0)")
         )
+        left = F.sum(F.col(f"_r_{c}") + F.coalesce(rest(f"_m_{c}"), F.lit(0.0)) * open_rows)
         filled = F.sum(F.col(f"_k_{c}") + open_rows)
         aggregates.append(
-            F.try_divide(total.cast("double") / F.lit(GRID), filled.cast("double")).alias(c)
+            F.try_divide(total.cast("double") / F.lit(GRID) + left, filled.cast("double")).alias(c)
         )
     return fills.agg(*aggregates)
 
@@ -289,9 +309,11 @@ def clean_measurements(
 ) -> DataFrame:
     """Normalise, drop invalid keys, de-duplicate, flag and cap, impute.
 
-    With ``stage`` the unique rows and the imputed rows are written to the shared folder:
-    later steps read each of them more than once, and neither the raw scan nor the
-    de-duplication is repeated for that, not even after the loss of an executor.
+    With ``stage`` two tables are written to the shared folder while the plan is built (this
+    is the one operator that is not lazy): the rows filled inside their slices, and the
+    imputed rows. Later steps read each of them more than once, and neither the raw scan nor
+    the de-duplication is repeated for that, not even after the loss of an executor. The
+    caller removes them with the run's folder.
 
     With ``audit`` helper columns stay for the quality report: whether a measurement was
     missing before imputation, and the number of copies of the row.
@@ -306,8 +328,8 @@ def clean_measurements(
     if audit:
         unique = unique.withColumns({f"_absent_{c}": F.col(c).isNull() for c in columns})
     limits = {c: S.DOMAIN_LIMITS[c] for c in columns if c in S.DOMAIN_LIMITS}
-    capped = keep(domain_cap(domain_flags(unique, limits), limits), "unique")
-    return keep(impute(capped, columns, width), "imputed")
+    capped = domain_cap(domain_flags(unique, limits), limits)
+    return keep(impute(capped, columns, width, stage=stage), "imputed")
 
 
 def clean_readings(

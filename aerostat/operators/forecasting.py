@@ -74,7 +74,7 @@ def split_point(df: DataFrame, train_ratio: float = 0.8, method: str = "exact")
     """Epoch second that closes the training share, as a scalar subquery."""
     seconds = df.select(epoch(F.col(S.TIME)).alias("t"))
     if method == "exact":
-        found = quantiles.exact_quantiles(seconds, ["t"], [train_ratio], slices.DAY, interpolate=False)
+        found = quantiles.exact_quantiles(seconds, ["t"], [train_ratio], interpolate=False)
     else:
         found = quantiles.sketch_quantiles(seconds, ["t"], [train_ratio])
     return found.agg(F.max("value").cast("long").alias("t")).scalar()

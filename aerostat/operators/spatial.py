@@ -9,6 +9,7 @@ from aerostat import schema as S
 from aerostat.functions import numeric as N
 from aerostat.functions import places as P
 from aerostat.operators.cleaning import present
+from aerostat.plans.lineage import materialise
 
 ATTRIBUTES = ["station_name", "city", "state", "latitude", "longitude", "station_type"]
 
@@ -32,7 +33,7 @@ def scope_city(df: DataFrame, city: str | None, state: str | None = None) -> Dat
 
 def scope_station(df: DataFrame, station_id: str | int | None) -> DataFrame:
     """Exact match; the wanted id takes the column's type so the filter reaches the scan."""
-    if not station_id or station_id in P.ANY_STATION or S.STATION not in df.columns:
+    if station_id is None or station_id == "" or station_id in P.ANY_STATION or S.STATION not in df.columns:
         return df
     return df.filter(F.col(S.STATION) == F.lit(station_id).cast(df.schema[S.STATION].dataType))
 
@@ -105,8 +106,8 @@ def _by_mean() -> list[Column]:
     return [F.col("mean_aqi").desc_nulls_last()]
 
 
-def station_summary(df: DataFrame) -> DataFrame:
-    """Index and pollutant statistics per station, most polluted first.
+def _station_statistics(df: DataFrame) -> DataFrame:
+    """Index and pollutant statistics per station, in no order.
 
     The spread comes from the station's sum and sum of squared deviations, so it merges
     like the other parts.
@@ -134,7 +135,12 @@ def station_summary(df: DataFrame) -> DataFrame:
         F.round(spread, 2).alias("std_aqi"),
         F.col("_rows").alias("total_readings"),
         *[_mean_column(df, p) for p in measures[1:]],
-    ).orderBy(*_by_mean(), S.STATION)
+    )
+
+
+def station_summary(df: DataFrame) -> DataFrame:
+    """Index and pollutant statistics per station, most polluted first."""
+    return _station_statistics(df).orderBy(*_by_mean(), S.STATION)
 
 
 def city_summary(df: DataFrame) -> DataFrame:
@@ -241,8 +247,9 @@ def station_rank(df: DataFrame, ascending: bool = False) -> DataFrame:
 
     Means have two places and lie in [0, 500], so at most 50,001 of them differ: ranks
     are counted over the distinct means and joined back, and no task orders all stations.
+    The summary, one row per station, is staged: both sides of the join read it.
     """
-    summary = station_summary(df)
+    summary = materialise(_station_statistics(df), "station-rank")
     order = F.col("mean_aqi").asc_nulls_last() if ascending else F.col("mean_aqi").desc_nulls_last()
     ladder = Window.partitionBy(F.col("_all")).orderBy(order)
     means = (
@@ -300,29 +307,18 @@ def map_viewport(df: DataFrame) -> DataFrame:
     )
 
 
-def hierarchy_tree(stations: DataFrame, page_size: int = 1000) -> DataFrame:
-    """State, city, and the stations of the city as an array of ``{station_id, station_name}``.
-
-    A city with more than ``page_size`` stations is spread over several rows, by a hash of
-    the station, so that no array grows with the table. Nothing is left out.
-    """
+def hierarchy_tree(stations: DataFrame) -> DataFrame:
+    """State, city, station id and name: one flat row per station, whatever a city's size."""
 
     def text(name: str, fallback: Column) -> Column:
         return F.coalesce(F.trim(F.col(name).cast("string")), fallback) if name in stations.columns else fallback
 
-    rows = stations.select(
+    return stations.select(
         text("state", F.lit("Other")).alias("state"),
         text("city", F.lit("Other")).alias("city"),
         text(S.STATION, F.lit("")).alias(S.STATION),
         text("station_name", text(S.STATION, F.lit(""))).alias("station_name"),
     )
-    sizes = rows.groupBy("state", "city").agg(F.ceil(F.count("*") / F.lit(page_size)).alias("_pages"))
-    return (
-        rows.join(sizes, ["state", "city"])
-        .withColumn("page", F.pmod(F.xxhash64(S.STATION), F.col("_pages")))
-        .groupBy("state", "city", "page")
-        .agg(F.sort_array(F.collect_list(F.struct(S.STATION, "station_name"))).alias("stations"))
-    )
 
 
 def coverage_profile(stations: DataFrame, readings: DataFrame, weather: DataFrame) -> DataFrame:

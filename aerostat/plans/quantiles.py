@@ -1,9 +1,10 @@
 """Exact quantiles by counting, without gathering a column in one task.
 
-``percentile`` keeps every distinct value of the column in one reducer. Counting
-distinct values is a partially aggregated group-by; whole cells of the value axis
-are then skipped by their counts and only the cells that hold a wanted rank are
-ordered.
+``percentile`` keeps every distinct value of the column in one reducer. Here the range of a
+column's values is cut into ``CELLS`` equal cells, the readings are counted per cell on the map
+side, and only the cells that hold a wanted rank are cut again, until such a cell holds a single
+value. Each level moves at most ``CELLS`` rows per column and wanted cell, however many readings
+or distinct values there are, and orders cells, never readings.
 """
 
 from __future__ import annotations
@@ -11,64 +12,94 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerostat.plans.lineage import materialise
+
+CELLS = 65_536
+_MOST_LEVELS = 500  # four or five are usual; values over all magnitudes take up to 150
+
+
+def _cell(v: Column, low: Column, high: Column, cells: int) -> Column:
+    """The cell of a value in ``[low, high]``. Either end has a cell of its own, so that an interval
+    shrinks also where its span is infinite; halves first, so that a finite span cannot overflow."""
+    share = F.try_divide(v / 2 - low / 2, high / 2 - low / 2)
+    middle = F.when(F.isnan(share), 1).otherwise(F.floor(share * cells))
+    inner = F.greatest(F.least(middle, F.lit(cells - 2)), F.lit(1))
+    return F.when(v <= low, 0).when(v >= high, cells - 1).otherwise(inner).cast("int")
+
 
 def exact_quantiles(
     df: DataFrame,
     columns: list[str],
     probabilities: list[float],
-    cell_width: float = 1.0,
     interpolate: bool = True,
+    cells: int = CELLS,
 ) -> DataFrame:
-    """Rows ``(variable, p, value)`` for every column with a non-null value.
+    """Rows ``(variable, p, value)`` for every column with a value.
 
-    With ``interpolate`` the value is linear between the two nearest ranks,
-    otherwise it is the smallest observed value whose share reaches ``p``.
+    With ``interpolate`` the value is linear between the two nearest ranks, otherwise it is the
+    smallest observed value whose share reaches ``p``. NULL and NaN are missing values. The
+    levels run while the plan is built; each leaves a table of a few rows in the shared folder.
     """
-    long = df.select(*columns).select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("v")) for c in columns])
-        ).alias("x")
-    )
-    counts = (
-        long.select("x.variable", "x.v")
-        .filter(F.col("v").isNotNull())
-        .groupBy("variable", "v")
-        .agg(F.count("*").alias("n"))
-        .withColumn("cell", F.floor(F.col("v") / F.lit(cell_width)))
-    )
-    by_cell = Window.partitionBy("variable").orderBy("cell")
-    cells = (
-        counts.groupBy("variable", "cell")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("end", F.sum("n").over(by_cell))
-        .withColumn("total", F.sum("n").over(Window.partitionBy("variable")))
-        .withColumn("start", F.col("end") - F.col("n"))
+    values = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
+    ends = df.agg(*[f(values[c]).alias(f"{n}_{c}") for c in columns for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))])
+    start = ends.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("variable"), F.col(f"n_{c}").alias("n"), F.col(f"lo_{c}").alias("lo"), F.col(f"hi_{c}").alias("hi"))
+                    for c in columns
+                ]
+            )
+        )
+    ).filter("n > 0")
+    wanted = start.select(
+        "variable", "lo", "hi", F.explode(F.array(*[_ranks(p, F.col("n"), interpolate) for p in probabilities])).alias("r")
     )
-    wanted = cells.select(
-        "variable",
-        "cell",
-        "start",
-        "end",
-        F.explode(F.array(*[_ranks(p, F.col("total"), interpolate) for p in probabilities])).alias("r"),
-    ).filter((F.col("r.high") >= F.col("start")) & (F.col("r.low") < F.col("end")))
-    hit = wanted.select("variable", "cell", "start").distinct()
-    inside = Window.partitionBy("variable", "cell").orderBy("v")
-    placed = (
-        counts.join(hit, ["variable", "cell"])
-        .withColumn("to", F.col("start") + F.sum("n").over(inside))
-        .withColumn("from", F.col("to") - F.col("n"))
-        .select("variable", "cell", "v", "from", "to")
+    # A row per rank: its open interval of values, and how many readings lie below the interval.
+    open_ = wanted.select(
+        "variable", "lo", "hi", F.lit(0).cast("long").alias("below"), "r.p", "r.fraction", F.explode(F.array("r.low", "r.high")).alias("rank")
+    ).distinct()
+    open_ = materialise(open_, "quantiles")
+    for _ in range(_MOST_LEVELS):
+        if open_.filter("lo < hi").isEmpty():
+            break
+        open_ = materialise(_narrowed(df, values, open_, cells), "quantiles")
+    else:
+        raise RuntimeError("quantiles did not settle")
+    # Of a quantile's two ranks the lower has the smaller value, or both have the same.
+    return open_.groupBy("variable", "p", "fraction").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).select(
+        "variable", "p", (F.col("a") + (F.col("b") - F.col("a")) * F.col("fraction")).alias("value")
     )
-    ranked = wanted.select("variable", "cell", "r").join(placed, ["variable", "cell"])
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("from")) & (rank < F.col("to")), F.col("v")))
 
-    return (
-        ranked.groupBy("variable", F.col("r.p").alias("p"), F.col("r.fraction").alias("fraction"))
-        .agg(at(F.col("r.low")).alias("lo"), at(F.col("r.high")).alias("hi"))
-        .select("variable", "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("fraction")).alias("value"))
+def _narrowed(df: DataFrame, values: dict[str, Column], open_: DataFrame, cells: int) -> DataFrame:
+    """Every open interval cut down to the cell that holds its rank."""
+    intervals = [
+        (r["variable"], r["lo"], r["hi"]) for r in open_.select("variable", "lo", "hi").filter("lo < hi").distinct().collect()
+    ]  # at most two per column and probability
+    hits = F.array(
+        *[
+            F.when(
+                values[c].between(lo, hi),
+                F.struct(F.lit(c).alias("variable"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"), values[c].alias("v")),
+            )
+            for c, lo, hi in intervals
+        ]
+    )
+    found = df.select(F.explode(F.array_compact(hits)).alias("x")).select("x.*")
+    counted = (
+        found.withColumn("cell", _cell(F.col("v"), F.col("lo"), F.col("hi"), cells))
+        .groupBy("variable", "lo", "hi", "cell")
+        .agg(F.count("*").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
+    )
+    ahead = Window.partitionBy("variable", "lo", "hi").orderBy("cell")
+    placed = counted.withColumn("to", F.sum("n").over(ahead)).withColumn("from", F.col("to") - F.col("n"))
+    inside = open_.filter("lo < hi").join(placed, ["variable", "lo", "hi"])
+    inside = inside.filter("rank - below >= from AND rank - below < to")
+    cut = inside.select(
+        "variable", F.col("least").alias("lo"), F.col("most").alias("hi"), (F.col("below") + F.col("from")).alias("below"), "p", "fraction", "rank"
     )
+    return open_.filter("lo >= hi").unionByName(cut)
 
 
 def _ranks(p: float, total: Column, interpolate: bool) -> Column:

@@ -40,7 +40,10 @@ def cut(df: DataFrame, width: int = DAY, order: str = S.TIME) -> DataFrame:
 
 
 def inside(key: str = S.STATION, order: str = S.TIME):
-    """Window over one slice of one station, in time order."""
+    """Window over one slice of one station, in time order.
+
+    Readings that repeat a station and time must be de-duplicated first: their order is open.
+    """
     return Window.partitionBy(key, SLICE).orderBy(order)
 
 
@@ -163,15 +166,17 @@ def trailing_mean(
     A range frame re-reads its rows for every output row, which is quadratic for a
     dense station. Instead each reading enters a ledger when it is taken and leaves it
     when it expires; the running total of the ledger is the window's sum. Totals are
-    integer sums, so what enters leaves without a remainder. A reading that outlives
-    its slice opens the next slice as well, so no slice depends on another.
+    integer sums, so what enters leaves without a remainder; NaN and infinities count
+    as missing. A reading that outlives its slice opens the next slice as well, so no
+    slice depends on another.
     """
     width = max(width, seconds)
     at = epoch(F.col(order))
     home = slice_of(at, width)
     expiry = at + F.lit(seconds + 1)
     outlives = expiry >= (home + 1) * F.lit(width)
-    value = F.col(column)
+    # NaN is the greatest number, so one comparison excludes it with the infinities.
+    value = F.when(F.abs(F.col(column)) < F.lit(float("inf")), F.col(column))
 
     def entry(slot: Column, when: Column, sign: int, own: bool) -> Column:
         payload = F.struct(*[F.col(c) for c in df.columns])
@@ -198,7 +203,7 @@ def trailing_mean(
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     present = F.when(F.col("value").isNotNull(), F.col("sign"))
-    total = running_sum("value * sign", running)
+    total = running_sum("value", "sign", running)
     mean = F.try_divide(total, F.sum(present).over(running).cast("double"))
     result = mean if places is None else F.round(mean, places)
     return (

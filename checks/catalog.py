@@ -695,8 +695,8 @@ def _(spark, sf):
 @add("hierarchy_tree", "SELECT state, city, CAST(station_id AS VARCHAR) AS station_id, station_name, count(*) OVER (PARTITION BY state, city) AS city_stations FROM stn")
 def _(spark, sf):
     tree = spatial.hierarchy_tree(T.stations(spark, sf))
-    sizes = tree.groupBy("state", "city").agg(F.sum(F.size("stations")).alias("city_stations"))
-    return tree.select("state", "city", F.inline("stations")).join(sizes, ["state", "city"])
+    sizes = tree.groupBy("state", "city").agg(F.count("*").alias("city_stations"))
+    return tree.join(sizes, ["state", "city"])
 
 
 @add(
@@ -1063,7 +1063,7 @@ def _(spark, sf):
 def _(spark, sf):
     # The driver holds this sink, so only the seven counts go there.
     counts = index_stream(spark, sf).groupBy("dominant_pollutant").agg(F.count("*").alias("readings"))
-    return sinks.memory_run(counts, f"memory_{lineage.uuid.uuid4().hex}", 600, "complete")
+    return sinks.memory_run(counts, f"memory_{lineage.uuid.uuid4().hex}")
 
 
 def window_sql(columns: str, source: str, width: int, slide: int, closed: bool) -> str:

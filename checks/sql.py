@@ -15,9 +15,8 @@ def R(x: str, places: int) -> str:
 
 
 def MEAN(x: str, over: str = "") -> str:
-    """Order-free mean on a grid of 1e-6."""
-    steps = f"CAST(floor(({x})*1000000.0e0+0.5e0) AS BIGINT)"
-    return f"(CAST(sum({steps}) {over} AS DOUBLE)/1000000.0e0/CAST(count({x}) {over} AS DOUBLE))"
+    """Mean of an exact decimal sum, twelve places."""
+    return f"(CAST(sum(CAST({x} AS DECIMAL(38,12))) {over} AS DOUBLE)/CAST(count({x}) {over} AS DOUBLE))"
 
 
 def D(x: float) -> str:

@@ -97,6 +97,21 @@ def test_many_copies_of_one_key(spark):
     assert "partial_min" in plan and "Window" not in plan
 
 
+def test_binary_fractions_leave_the_ledger_as_they_entered(spark):
+    df = spark.range(80_000).select(
+        F.lit("A").alias("station_id"), F.timestamp_seconds(F.col("id")).alias("timestamp"), F.lit(0.0078125).alias("v")
+    )
+    out = slices.trailing_mean(df, "v", 0, "m", None).agg(F.min("m"), F.max("m")).first()
+    assert tuple(out) == (0.0078125, 0.0078125)
+
+
+def test_missing_numbers_leave_no_trace_in_rolling_means(spark):
+    rows = [("A", float(i), v) for i, v in enumerate([1.0, float("nan"), 3.0, float("inf"), 5.0])]
+    df = spark.createDataFrame(rows, "station_id string, s double, v double").withColumn("timestamp", F.timestamp_seconds("s"))
+    out = slices.trailing_mean(df, "v", 1, "m", None).orderBy("s").collect()
+    assert [r.m for r in out] == [1.0, 1.0, 3.0, 3.0, 5.0]
+
+
 def test_rolling_average_is_linear_in_density(skewed):
     out = temporal.rolling_average(skewed, hours=1)
     assert out.count() == skewed.count()
