@@ -67,8 +67,14 @@ def latest_records(df: DataFrame, n: int = 10) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, keys: list[str], n: int = 1000, seed: int = 42) -> DataFrame:
-    """A reproducible sample: the rows whose keys hash lowest under the seed."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)
+    """A reproducible sample: the rows whose keys hash lowest under the seed.
+
+    The hash is SHA-256 of seed and keys, joined by ``|``, times as microseconds: any engine has it.
+    """
+    kinds = dict(df.dtypes)
+    parts = [F.unix_micros(F.col(k).cast("timestamp")) if kinds[k].startswith("timestamp") else F.col(k) for k in keys]
+    text = F.concat_ws("|", F.lit(seed).cast("string"), *[p.cast("string") for p in parts])
+    return df.orderBy(F.sha2(text, 256), *keys).limit(n)
 
 
 def station_statistics(df: DataFrame) -> DataFrame:

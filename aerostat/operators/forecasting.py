@@ -118,26 +118,33 @@ def better_model(scores: dict[str, dict[str, float]]) -> str:
     return "random_forest" if scores["random_forest"]["r2"] >= scores["linear_regression"]["r2"] else "linear_regression"
 
 
+def split_features(
+    df: DataFrame, target: str = "aqi", train_ratio: float = 0.8, with_aliases: bool = True
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Complete rows with their features, the earlier and the later share, each written once."""
+    rows, names = assemble(ml_features(df, target), target, with_aliases)
+    keep = rows.select(S.STATION, S.TIME, target, *[n for n in names if n != target])
+    stored = lineage.materialise(keep, "features")
+    shares = chronological_split(stored, train_ratio)
+    train, test = (lineage.materialise(part, name) for part, name in zip(shares, ("train", "test")))
+    return assemble(train, target, with_aliases)[0], assemble(test, target, with_aliases)[0], names
+
+
 def train_and_evaluate(df: DataFrame, target: str = "aqi", train_ratio: float = 0.8, with_aliases: bool = True) -> Outcome:
     """Fit both models on the earlier rows and score both on the later ones.
 
-    Fitting passes over its input many times, so the features are written once. Both models
-    score in one projection: their predictions need no join.
+    Fitting passes over its input many times, so both shares are written once, and so are the
+    scored rows. Both models score in one projection: their predictions need no join.
     """
-    rows, names = assemble(ml_features(df, target), target, with_aliases)
-    keep = rows.select(S.STATION, S.TIME, target, *[n for n in names if n != target])
-    stored = lineage.materialise(keep, "features")
-    rows, names = assemble(stored, target, with_aliases)
-    train, test = chronological_split(rows, train_ratio)
+    train, test, names = split_features(df, target, train_ratio, with_aliases)
     linear = train_linear(train, target, "predicted_lr")
     forest = train_forest(train, target, "predicted_rf")
     scored = forest.transform(linear.transform(test))
-    counts = stored.agg(F.count("*").alias("n")).first()["n"]
+    scored = lineage.materialise(scored.drop("features"), "scored")
     scores = {
         name: regression_metrics(scored, target, column).first().asDict()
         for name, column in (("linear_regression", "predicted_lr"), ("random_forest", "predicted_rf"))
     }
-    tested = test.count()
     best = better_model(scores)
     return Outcome(
         linear,
@@ -145,8 +152,8 @@ def train_and_evaluate(df: DataFrame, target: str = "aqi", train_ratio: float =
         scores,
         best,
         names,
-        counts - tested,
-        tested,
+        train.count(),
+        scored.count(),
         train_ratio,
         predictions_table(scored, best, target),
     )
