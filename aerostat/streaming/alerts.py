@@ -68,9 +68,12 @@ def alert_table_run(
     checkpoint: str,
     thresholds: dict[str, float] | None = None,
     width: int = slices.DAY,
+    keep_rows: bool = False,
 ) -> StreamingQuery:
     """Write the alerts of a stream under ``path/alerts``, micro-batch by micro-batch.
 
+    With ``keep_rows`` the rows are written too, as CSV under ``path/rows``.
+
     Each micro-batch runs the batch operator, whose windows are sliced, and takes what came
     before it from a table with the last PM2.5 of each station. Two state folders alternate:
     a repeated micro-batch reads the one its predecessor left and overwrites its own output.
@@ -92,6 +95,8 @@ def alert_table_run(
         seen = seen.withColumn("prev_pm2_5", F.coalesce("prev_pm2_5", "last_pm2_5")).drop("last_pm2_5")
         found = alerting.payload(alerting.apply_rules(seen, thresholds))
         found.write.mode("overwrite").parquet(f"{path}/alerts/batch_id={batch_id}")
+        if keep_rows:
+            rows.write.mode("overwrite").option("header", True).csv(f"{path}/rows/batch_id={batch_id}")
         complete = F.when(F.col("aqi").isNotNull(), F.col("pm2_5"))
         newest = (
             rows.groupBy(S.STATION)
@@ -110,3 +115,25 @@ def alert_table(indexed: DataFrame) -> DataFrame:
     path = lineage.scratch_path(spark, "alerts")
     alert_table_run(indexed, path, lineage.scratch_path(spark, "offsets"))
     return spark.read.parquet(f"{path}/alerts").drop("batch_id")
+
+
+ROW = f"{S.STATION} string, {S.TIME} timestamp, aqi double, pm2_5 double"
+
+
+def stream_report(indexed: DataFrame, path: str, checkpoint: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Run the alerts of a stream and report on it: rows as CSV, alerts and statistics as JSON.
+
+    Returns the alerts, the statistics per station, and counts as rows ``(kind, name, n)``: rows,
+    stations, and alerts by type. All of it is read back from files under ``path``.
+    """
+    spark = indexed.sparkSession
+    alert_table_run(indexed, path, checkpoint, keep_rows=True)
+    found = spark.read.parquet(f"{path}/alerts").drop("batch_id")
+    rows = spark.read.schema(ROW).option("header", True).csv(f"{path}/rows/*")
+    statistics = alerting.station_statistics(rows)
+    statistics.write.mode("overwrite").json(f"{path}/statistics")
+    statistics = spark.read.schema(statistics.schema).json(f"{path}/statistics")
+    counts = alerting.alert_type_counts(found).select(F.lit("alerts").alias("kind"), F.col("alert_type").alias("name"), F.col("count").alias("n"))
+    for kind, table in (("rows", rows), ("stations", statistics)):
+        counts = counts.unionByName(table.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), F.lit("all").alias("name"), "n"))
+    return found, statistics, counts

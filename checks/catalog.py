@@ -1035,11 +1035,27 @@ def _(spark, sf):
 # --- streaming ---------------------------------------------------------------------------
 
 
-def event_stream(spark, sf) -> DataFrame:
-    """The events table as a stream of readings."""
-    schema = T.load(spark, sf, "events").schema
-    events = sources.parquet_stream(spark, sf, schema, "events.parquet")
-    return T.with_counter(events).select(*T.reading_columns())
+PARTS = 4  # files of the event stream, by time, one per micro-batch
+
+
+def event_stream(spark, sf, late: bool = False) -> DataFrame:
+    """The events table as a stream of readings that arrives in several files, one per trigger.
+
+    With ``late`` one more file repeats some of the first events after all others.
+    """
+    events = T.load(spark, sf, "events")
+    bounds = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    step = (bounds.b - bounds.a) / PARTS
+    directory = files.scratch(spark, "events")
+    for i in range(PARTS):
+        part = events.filter(F.col("ts") >= bounds.a + step * i) if i else events
+        part = part.filter(F.col("ts") < bounds.a + step * (i + 1)) if i < PARTS - 1 else part
+        part.coalesce(1).write.mode("append").parquet(directory)
+    if late:
+        first = events.filter(f"event_id % 97 = 0 AND ts < to_timestamp_ntz('{bounds.a + step}')")
+        first.coalesce(1).write.mode("append").parquet(directory)
+    stream = sources.parquet_stream(spark, directory, events.schema, max_files=1)
+    return T.with_counter(stream).select(*T.reading_columns())
 
 
 def index_stream(spark, sf) -> DataFrame:
@@ -1105,11 +1121,26 @@ def _(spark, sf):
     return sinks.bounded_table(windows.window_pollutants(event_stream(spark, sf), slide=None))
 
 
-@add("late_data", window_sql("count(*) AS record_count", "idx", 3600, 3600, True))
+LATE = """SELECT count(DISTINCT (station_id, floor(epoch("timestamp")/3600))) FROM idx WHERE event_id%97=0
+  AND "timestamp" < (SELECT min("timestamp")+(max("timestamp")-min("timestamp"))/4 FROM idx)"""
+
+
+@add("late_data", window_sql(f"count(*) AS record_count, ({LATE}) AS dropped_groups", "idx", 3600, 3600, True))
 def _(spark, sf):
-    # The table is in time order, so nothing is late: each closed window counts all its rows.
-    hours = windows.window_aqi(index_stream(spark, sf), S.WATERMARK, "1 hour", None)
-    return sinks.bounded_table(hours).select(S.STATION, "window_start", "window_end", "record_count")
+    """A last file repeats early events: no closed window may count them, and all of them are told.
+
+    What is told are groups, rows after the partial aggregation: windows and stations here.
+    """
+    indexed = sources.indexed_stream(event_stream(spark, sf, late=True))
+    hours = windows.window_aqi(indexed, S.WATERMARK, "1 hour", None)
+    path = files.scratch(spark, "hours")
+    query, _ = sinks.bounded_run(hours, path, files.scratch(spark, "offsets"))
+    dropped = sum(o.numRowsDroppedByWatermark for p in query.recentProgress for o in p.stateOperators)
+    return (
+        spark.read.schema(hours.schema)
+        .parquet(path)
+        .select(S.STATION, "window_start", "window_end", "record_count", F.lit(dropped).cast("long").alias("dropped_groups"))
+    )
 
 
 @add("stream_dedup", f"SELECT {KEYS}, pm2_5 FROM rdg")
@@ -1146,17 +1177,22 @@ def _(spark, sf):
 
 @add(
     "stream_report_sink",
-    "SELECT 'rows' AS kind, count(*) AS n FROM idx UNION ALL SELECT 'alerts', count(*) FROM idx WHERE aqi>=150",
+    f"""SELECT 'rows' AS kind, 'all' AS name, count(*) AS n, CAST(NULL AS DOUBLE) AS avg_aqi FROM idx
+    UNION ALL SELECT 'stations', 'all', count(DISTINCT station_id), NULL FROM idx
+    UNION ALL SELECT 'alerts', kind, count(*), NULL FROM rul WHERE kind IS NOT NULL GROUP BY kind
+    UNION ALL SELECT 'alert', alert_id, 1, NULL FROM ({ALERTS})
+    UNION ALL SELECT 'station', CAST(station_id AS VARCHAR), readings_count, avg_aqi FROM ({STATION_STATS})""",
 )
 def _(spark, sf):
     root = files.scratch(spark, "feed-report")
-    feed = index_stream(spark, sf).select(S.STATION, S.TIME, "aqi", "pm2_5")
-    sinks.report_run(feed, f"{root}/alerts", f"{root}/rows", F.col("aqi") >= 150, f"{root}/offsets")
-    rows = files.read_csv(spark, f"{root}/rows", infer_schema=True)
-    alarms = spark.read.json(f"{root}/alerts")
-    return rows.select(F.lit("rows").alias("kind")).unionByName(alarms.select(F.lit("alerts").alias("kind"))).groupBy(
-        "kind"
-    ).agg(F.count("*").alias("n"))
+    feed = index_stream(spark, sf).withColumn(S.STATION, F.col(S.STATION).cast("string"))
+    found, stations, counts = stream_alerts.stream_report(feed, root, f"{root}/offsets")
+    none = F.lit(None).cast("double").alias("avg_aqi")
+    return (
+        counts.select("kind", "name", "n", none)
+        .unionByName(found.select(F.lit("alert").alias("kind"), F.col("alert_id").alias("name"), F.lit(1).cast("long").alias("n"), none))
+        .unionByName(stations.select(F.lit("station").alias("kind"), F.col(S.STATION).alias("name"), F.col("readings_count").alias("n"), "avg_aqi"))
+    )
 
 
 # --- forecasting -------------------------------------------------------------------------
