@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -29,3 +29,11 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand at most so many rows at a time to Python in this session: texts are long, and a worker
+    holds a batch several times over."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)

@@ -20,20 +20,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerostat.llm.common import ascii_lower, fresh, whole
-from aerostat.plans.lineage import materialise, with_scalar
+from aerostat.llm.common import UPPER, fresh, whole
+from aerostat.plans.lineage import materialise
 
 THRESHOLD = 0.8
 BUCKET_BITS = 20  # of the table of word frequencies
 BUSY = 1000  # lines with a word from which on settled lines are kept apart
 LEADERS = 2  # MinHash buckets of a line
-_SPACE = r"[\x20\x09-\x0D]+"
+SENT = 500_000  # lines whose ids and places may travel to all executors; more are joined by a shuffle
+# Capital ASCII letters become small ones, and white space within a line becomes blanks.
+_FROM, _TO = UPPER + "\t\x0b\x0c\r", UPPER.lower() + " " * 4
 _HASH_BITS = 63 - BUCKET_BITS
 
 
 def word_set(line: Column) -> Column:
-    """A line's different words in lower ASCII letters, sorted."""
-    return F.sort_array(F.array_distinct(F.array_remove(F.split(ascii_lower(line), _SPACE), "")))
+    """The different words of a line of translated text, sorted."""
+    return F.sort_array(F.array_distinct(F.array_remove(F.split(line, " "), "")))
 
 
 def _place(key: Column, line: Column, words: Column) -> Column:
@@ -47,12 +49,12 @@ def _place(key: Column, line: Column, words: Column) -> Column:
     return (top * F.lit(10**18).cast("decimal(19,0)") + low.cast("decimal(18,0)")).cast("decimal(38,0)")
 
 
-def _ranks(sets: DataFrame) -> DataFrame:
+def _ranks(lines: DataFrame) -> DataFrame:
     """One row: the rank of each bucket by how often its words occur, and the first busy rank."""
     n = 1 << BUCKET_BITS
     bucket = F.pmod(F.xxhash64("word"), F.lit(n))
-    counts = sets.select(F.explode("words").alias("word")).groupBy(bucket.alias("bucket")).count()
-    every = sets.sparkSession.range(n).withColumnRenamed("id", "bucket").join(counts, "bucket", "left")
+    counts = lines.select(F.explode("words").alias("word")).groupBy(bucket.alias("bucket")).count()
+    every = lines.sparkSession.range(n).withColumnRenamed("id", "bucket").join(counts, "bucket", "left")
     row = F.struct(F.coalesce("count", F.lit(0)).alias("n"), F.col("bucket").cast("int").alias("b"))
     ranked = every.agg(F.array_sort(F.collect_list(row)).alias("all"))  # of a fixed size
     pairs = F.array_sort(F.transform("all", lambda x, i: F.struct(x["b"].alias("b"), i.alias("r"))))
@@ -65,17 +67,20 @@ def _fewest(size: Column, threshold: float) -> Column:
     return F.ceil(size * threshold - 1e-9)
 
 
-def _signed(sets: DataFrame, ranks: DataFrame, threshold: float) -> DataFrame:
-    """Sets with the keys of their prefix, rarest first, size, map and MinHash values.
+def _signed(lines: DataFrame, ranks: DataFrame, first: DataFrame, threshold: float) -> DataFrame:
+    """One line of each set, with the keys of its prefix, rarest first, size, map and MinHash values.
 
-    A key is the bucket's rank followed by more bits of the word's hash.
+    A key is the bucket's rank followed by more bits of the word's hash; where it has to be small,
+    its low half is hashed, which can only add candidates.
     """
     n = 1 << BUCKET_BITS
-    with_ranks = with_scalar(sets, ranks, "ranks")
+    # Scalar subqueries, evaluated once. Each is used in one place, so the optimizer puts it there;
+    # used twice, the whole table would become a column and be copied into every row.
+    with_table = lines.withColumns({"_table": ranks.select("rank").scalar(), "_busy": ranks.select("busy").scalar()})
 
     def key(word: Column) -> Column:
         h = F.xxhash64(word)
-        rank = F.element_at(F.col("ranks")["rank"], (F.pmod(h, F.lit(n)) + 1).cast("int"))
+        rank = F.element_at("_table", (F.pmod(h, F.lit(n)) + 1).cast("int"))
         return F.shiftleft(rank.cast("long"), _HASH_BITS) + F.shiftrightunsigned(h, 64 - _HASH_BITS)
 
     def bits(half: int) -> Column:
@@ -87,35 +92,58 @@ def _signed(sets: DataFrame, ranks: DataFrame, threshold: float) -> DataFrame:
 
     lows = [F.array_min(F.transform("keys", lambda k, i=i: F.xxhash64(k, F.lit(i)))) for i in range(LEADERS)]
     prefix = (F.col("size") - _fewest(F.col("size"), threshold) + 1).cast("int")
-    return (
-        with_ranks.select(
-            "place",
+    signed = (
+        with_table.select(
+            "set",
+            F.col("at").alias("place"),
+            "id",
+            "line",
             F.sort_array(F.transform("words", key)).alias("keys"),
             F.size("words").alias("size"),
-            F.col("ranks")["busy"].alias("busy"),
+            F.col("_busy").alias("busy"),
         )
         .select("*", bits(0).alias("map0"), bits(1).alias("map1"), F.array(*lows).alias("lows"))
         .withColumn("keys", F.slice("keys", 1, prefix))
     )
+    # Rows that repeat an id and its text have the same lines in the same places: one of each.
+    return signed.join(first.select("set", "place"), ["set", "place"], "left_semi").dropDuplicates(["set"]).drop("set")
 
 
 def _bit(k: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))
 
 
-def _may_match(a: str, b: str, threshold: float) -> Column:
+def _packed(size: str, at: str, open_: str) -> Column:
+    """Size, place of the word in the order, and openness in one number."""
+    return F.shiftleft(F.col(size).cast("long"), 32) + F.shiftleft(F.col(at).cast("long"), 1) + F.col(open_).cast("long")
+
+
+def _unpacked(pack: Column) -> tuple[Column, Column, Column]:
+    return F.shiftright(pack, 32), F.shiftright(pack, 1).bitwiseAND((1 << 31) - 1), pack.bitwiseAND(1) == 1
+
+
+def _may_match(a: str, b: str, sa: Column, sb: Column, threshold: float) -> Column:
     """Length filter, and the maps' bound on the overlap, between two aliased frames."""
-    sa, sb = F.col(f"{a}.size"), F.col(f"{b}.size")
     differ = sum(F.bit_count(F.col(f"{a}.map{i}").bitwiseXOR(F.col(f"{b}.map{i}"))) for i in (0, 1))
     long_enough = F.least(sa, sb) >= F.greatest(sa, sb) * threshold - 1e-9
     return long_enough & (differ * (1 + threshold) <= (sa + sb) * (1 - threshold) + 1e-9)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The places of the later lines of pairs (``late``, ``early``) that are similar."""
+def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """The places of the later lines of pairs (``late``, ``early``) that are similar.
+
+    The words of the lines in question are read again from the documents.
+    """
     pairs = materialise(pairs.distinct(), "line-pairs")
     some = pairs.select(F.col("late").alias("place")).unionByName(pairs.select(F.col("early").alias("place"))).distinct()
-    words = materialise(sets.join(some, "place", "left_semi").select("place", "words"), "line-words")
+    some = materialise(signed.select("place", "id", "line").join(some, "place", "left_semi"), "line-wanted")
+    if some.count() <= SENT:
+        some = F.broadcast(some)
+    content = F.element_at(F.split("text", "\n"), F.col("line") + 1)
+    words = docs.join(some.withColumnRenamed("id", "of"), F.col("id").eqNullSafe(F.col("of")))
+    words = words.select("place", "line", word_set(content).alias("words"), "id")
+    words = words.filter(_place(F.col("id"), F.col("line"), F.array_join("words", " ")) == F.col("place")).select("place", "words")
+    words = materialise(words.dropDuplicates(["place"]), "line-words")
     late = words.select(F.col("place").alias("late"), F.col("words").alias("w"))
     early = words.select(F.col("place").alias("early"), F.col("words").alias("v"))
     common = F.size(F.array_intersect("w", "v"))
@@ -130,7 +158,7 @@ def _led(signed: DataFrame, threshold: float) -> DataFrame:
     pairs = rows.join(leaders, ["which", "low"]).filter("place > first").select("place", "size", "map0", "map1", "first").distinct()
     short = signed.select("place", "size", "map0", "map1")
     met = pairs.alias("x").join(short.alias("y"), F.col("x.first") == F.col("y.place"))
-    return met.filter(_may_match("x", "y", threshold)).select(F.col("x.place").alias("late"), F.col("x.first").alias("early"))
+    return met.filter(_may_match("x", "y", F.col("x.size"), F.col("y.size"), threshold)).select(F.col("x.place").alias("late"), F.col("x.first").alias("early"))
 
 
 def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> DataFrame:
@@ -145,25 +173,24 @@ def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> DataFr
         # Under a busy word, settled and unsettled lines meet each other but not themselves.
         busy = F.shiftright("key", _HASH_BITS) >= F.col("busy")
         sides = F.when(~busy, F.array(F.lit(0))).when(F.col("open"), F.array(*map(F.lit, open_sides))).otherwise(F.array(F.lit(settled_side)))
-        return cut.withColumn("side", F.explode(sides)).drop("busy")
+        cut = cut.withColumn("side", F.explode(sides))
+        return cut.select("place", "map0", "map1", F.hash("key", "side").alias("key"), _packed("size", "at", "open").alias("pack"))
 
     size = F.col("size")
     share = 2 * threshold / (1 + threshold)
     # The shorter line of a pair needs fewer words; of equally long ones both orders are tried.
     x = rows(size - _fewest(size, share) + 1, (0, 1), 2).alias("x")
     y = rows(size - _fewest(size, threshold) + 1, (0, 2), 1).alias("y")
-    sx, sy = F.col("x.size"), F.col("y.size")
+    (sx, ax, ox), (sy, ay, oy) = _unpacked(F.col("x.pack")), _unpacked(F.col("y.pack"))
     need = F.ceil((sx + sy) * (threshold / (1 + threshold)) - 1e-9)
-    left = F.least(sx - F.col("x.at"), sy - F.col("y.at"))
     x_late = F.col("x.place") > F.col("y.place")
     both = (
         (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.side") == F.col("y.side"))
         & (sx <= sy)
-        & (left >= need)
-        & _may_match("x", "y", threshold)
+        & (F.least(sx - ax, sy - ay) >= need)
+        & _may_match("x", "y", sx, sy, threshold)
         & (F.col("x.place") != F.col("y.place"))
-        & F.when(x_late, F.col("x.open")).otherwise(F.col("y.open"))
+        & F.when(x_late, ox).otherwise(oy)
     )
     return x.join(y, both).select(
         F.greatest("x.place", "y.place").alias("late"), F.least("x.place", "y.place").alias("early")
@@ -177,22 +204,21 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     count as one document with the same places, so a copy of a row repeats nothing of it; lines of
     documents without an id come last. Null texts have one empty line.
     """
-    text = F.split(whole(F.col(text_col)), "\n")
-    lines = docs.select(F.col(id_col).alias("id"), F.posexplode(text).alias("line", "content"))
+    docs = docs.select(F.col(id_col).alias("id"), F.translate(whole(F.col(text_col)), _FROM, _TO).alias("text"))
+    lines = docs.select("id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
     lines = lines.select("id", "line", word_set(F.col("content")).alias("words")).filter(F.size("words") > 0)
-    lines = lines.select("id", "line", F.array_join("words", " ").alias("key"))
-    lines = lines.select("*", _place(F.col("id"), F.col("line"), F.col("key")).alias("at"))
-    first = lines.groupBy("key").agg(F.min("at").alias("place"), F.count(F.lit(1)).alias("n"))
-    sets = materialise(first, "line-sets").withColumn("words", F.split("key", " "))
-    signed = materialise(_signed(sets, materialise(_ranks(sets), "line-ranks"), threshold), "line-signed")
-    settled = _verified(_led(signed, threshold), sets, threshold)
-    settled = materialise(settled, "line-settled")
-    late = settled.unionByName(_verified(_prefixed(signed, settled, threshold), sets, threshold)).distinct()
+    lines = lines.select("*", F.array_join("words", " ").alias("key"))
+    placed = _place(F.col("id"), F.col("line"), F.col("key"))
+    lines = lines.select("id", "line", "words", F.unhex(F.md5("key")).alias("set"), placed.alias("at"))
+    first = lines.groupBy("set").agg(F.min("at").alias("place"), F.count(F.lit(1)).alias("n"))
+    first = materialise(first, "line-sets")
+    signed = materialise(_signed(lines, materialise(_ranks(lines), "line-ranks"), first, threshold), "line-signed")
+    settled = materialise(_verified(_led(signed, threshold), signed, docs, threshold), "line-settled")
+    late = settled.unionByName(_verified(_prefixed(signed, settled, threshold), signed, docs, threshold)).distinct()
     # Of a set that an earlier one repeats all lines go, of any other all but the first.
-    ends = sets.join(late.withColumnRenamed("late", "place"), "place", "left_semi").select(F.md5("key").alias("set"), F.lit(True).alias("all"), "place")
-    more = sets.join(late.withColumnRenamed("late", "place"), "place", "left_anti").filter("n > 1").select(F.md5("key").alias("set"), F.lit(False).alias("all"), "place")
-    verdicts = ends.unionByName(more)
-    found = lines.select("id", "line", "at", F.md5("key").alias("set")).join(verdicts, "set")
+    marked = first.join(late.select(F.col("late").alias("place"), F.lit(True).alias("all")), "place", "left")
+    marked = marked.withColumn("all", F.coalesce("all", F.lit(False))).filter("all OR n > 1").drop("n")
+    found = lines.select("id", "line", "at", "set").join(marked, "set")
     return found.filter(F.col("all") | (F.col("at") > F.col("place"))).select("id", "line")
 
 

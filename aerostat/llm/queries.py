@@ -19,7 +19,7 @@ from aerostat.llm import (
     sentencepiece,
     sharding,
 )
-from aerostat.llm.common import remainder, whole
+from aerostat.llm.common import remainder, short_batches, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     model = sentencepiece.load(TOKENIZER)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = docs.withColumn("ids", sentencepiece.encode(F.col("text"), model))

@@ -28,9 +28,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MARK = "▁"
-REMEMBERED = 100_000  # words of a generation, and pairs of pieces, that a task holds
+REMEMBERED = 300_000  # words of a generation; half as many pairs of pieces
 LONG = 64  # longer words are not remembered
 _INF = float("inf")
+_SHORT = (2, 1)
 
 
 @dataclass
@@ -125,11 +126,17 @@ class Coder:
         self.model = model
         self.score = {piece: score for piece, (_, score) in model.pieces.items()}.get
         self.longest = max(map(len, model.pieces), default=1)
-        self.reach: dict[str, int] = {}  # the longest piece by its first two characters
+        # Lengths of pieces by their first three characters, longest first, and pairs of characters
+        # that some piece holds: between others every path has a state.
+        lengths: dict[str, set[int]] = {}
+        self.inner: set[str] = set()
         for piece in model.pieces:
-            self.reach[piece[:2]] = max(self.reach.get(piece[:2], 1), len(piece))
+            if len(piece) > 2:
+                lengths.setdefault(piece[:3], set()).add(len(piece))
+            self.inner.update(piece[i : i + 2] for i in range(len(piece) - 1))
+        self.lengths = {start: (*sorted(n, reverse=True), 2, 1) for start, n in lengths.items()}
         self.words = _Words(self)
-        self.follows = lru_cache(REMEMBERED)(self._follows)
+        self.follows = lru_cache(REMEMBERED // 2)(self._follows)
         self.chunk = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
     def normal(self, text: str) -> str:
@@ -170,24 +177,24 @@ class Coder:
         A position is reached at cost 0 in one way only, so one that leads nowhere is never
         entered again, and the search is linear in the word.
         """
-        pieces, follows, reach, n = self.model.pieces, self.follows, self.reach.get, len(word)
+        pieces, follows, lengths, n = self.model.pieces, self.follows, self.lengths.get, len(word)
         dead: set[int] = set()
-        out = [""]
-        start, end = 0, min(n, reach(word[:2], 1))
-        while start < n:
-            while end > start:
-                arc = word[start:end]
-                if (arc in pieces or end - start == 1) and end not in dead and follows(out[-1], arc):
-                    break
-                end -= 1
-            if end > start:
-                out.append(arc)
-                start = end
-                end = min(n, start + reach(word[start : start + 2], 1))
+        out, left = [""], []
+        at, arcs = 0, iter(lengths(word[:3], _SHORT))
+        while at < n:
+            for length in arcs:
+                end = at + length
+                if end <= n:
+                    arc = word[at:end]
+                    if (length == 1 or arc in pieces) and end not in dead and follows(out[-1], arc):
+                        out.append(arc)
+                        left.append(arcs)
+                        at, arcs = end, iter(lengths(word[end : end + 3], _SHORT))
+                        break
             else:
-                dead.add(start)
-                end = start - 1
-                start -= len(out.pop())
+                dead.add(at)
+                at -= len(out.pop())
+                arcs = left.pop()
         return out[1:]
 
     def _cheapest_path(self, word: str) -> list[str]:
@@ -243,6 +250,8 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
+        if ids is None and len(word) > 2 and word[-2:] not in self.coder.inner:
+            return self[word[:-1]] + self[word[-1]]  # no piece crosses: a stop after a word, say
         if ids is None:
             ids = self.coder.ids(word)
         if len(word) <= LONG:
