@@ -217,6 +217,34 @@ def fill_with_global_mean(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return lineage.with_scalar(df, row, "_means").withColumns(filled).drop("_means")
 
 
+def fill_with_global_value(df: DataFrame, columns: Iterable[str], strategy: str = "median") -> DataFrame:
+    """Replace NULL by the whole column's ``mean``, exact ``median``, or ``mode``.
+
+    NaN is no value of a median. Of equally frequent values the smallest is the mode.
+    """
+    columns = present(df, columns)
+    if strategy == "mean":
+        return fill_with_global_mean(df, columns)
+    if strategy == "median":
+        row = quantiles.as_one_row(quantiles.exact_quantiles(df, columns, [0.5]), columns, [0.5])
+        row = row.select(*[F.col(f"{c}_q0").alias(c) for c in columns])
+    elif strategy == "mode":
+        tops = [
+            df.filter(F.col(c).isNotNull())
+            .groupBy(c)
+            .agg(F.count("*").alias("_n"))
+            .agg(F.min_by(c, F.struct(-F.col("_n"), F.col(c))))
+            .scalar()
+            .alias(c)
+            for c in columns
+        ]
+        row = df.sparkSession.range(1).select(*tops)
+    else:
+        raise ValueError(f"strategy must be 'mean', 'median' or 'mode', not {strategy!r}")
+    filled = {c: F.coalesce(F.col(c), F.col(f"_values.{c}")) for c in columns}
+    return lineage.with_scalar(df, row, "_values").withColumns(filled).drop("_values")
+
+
 def impute(
     df: DataFrame,
     columns: Iterable[str],

@@ -59,6 +59,16 @@ def ml_features(df: DataFrame, target: str = "aqi", width: int = slices.DAY) ->
     return history_features(df, target, width)
 
 
+def ahead(df: DataFrame, target: str = "aqi", horizon: int = 1, width: int = slices.DAY) -> DataFrame:
+    """Add ``<target>_ahead``: the station's value ``horizon`` readings later, NULL at its end.
+
+    The lag operator over mirrored time, so a busy station stays in slices here too.
+    """
+    mirrored = df.withColumn("_mirror", F.timestamp_micros(-F.unix_micros(F.col(S.TIME).cast("timestamp"))))
+    rows = slices.previous_rows(mirrored, {"_later": target}, horizon, width, order="_mirror")
+    return rows.select(*df.columns, F.col(f"_later_{horizon}").alias(f"{target}_ahead"))
+
+
 def feature_columns(df: DataFrame, with_aliases: bool = True) -> list[str]:
     return present(df, [*MEASURED, *TEMPORAL, *(ALIASES if with_aliases else [])])
 
@@ -119,10 +129,16 @@ def better_model(scores: dict[str, dict[str, float]]) -> str:
 
 
 def split_features(
-    df: DataFrame, target: str = "aqi", train_ratio: float = 0.8, with_aliases: bool = True
+    df: DataFrame, target: str = "aqi", train_ratio: float = 0.8, with_aliases: bool = True, horizon: int = 0
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Complete rows with their features, the earlier and the later share, each written once."""
-    rows, names = assemble(ml_features(df, target), target, with_aliases)
+    """Complete rows with their features, the earlier and the later share, each written once.
+
+    With a ``horizon`` the column ``target`` holds the value so many readings later.
+    """
+    rows = ml_features(df, target)
+    if horizon:
+        rows = ahead(rows, target, horizon).drop(target).withColumnRenamed(f"{target}_ahead", target)
+    rows, names = assemble(rows, target, with_aliases)
     keep = rows.select(S.STATION, S.TIME, target, *[n for n in names if n != target])
     stored = lineage.materialise(keep, "features")
     shares = chronological_split(stored, train_ratio)
@@ -130,13 +146,17 @@ def split_features(
     return assemble(train, target, with_aliases)[0], assemble(test, target, with_aliases)[0], names
 
 
-def train_and_evaluate(df: DataFrame, target: str = "aqi", train_ratio: float = 0.8, with_aliases: bool = True) -> Outcome:
+def train_and_evaluate(
+    df: DataFrame, target: str = "aqi", train_ratio: float = 0.8, with_aliases: bool = True, horizon: int = 0
+) -> Outcome:
     """Fit both models on the earlier rows and score both on the later ones.
 
+    ``horizon=0`` explains the index of the same reading; ``horizon=1`` forecasts the next one.
+
     Fitting passes over its input many times, so both shares are written once, and so are the
     scored rows. Both models score in one projection: their predictions need no join.
     """
-    train, test, names = split_features(df, target, train_ratio, with_aliases)
+    train, test, names = split_features(df, target, train_ratio, with_aliases, horizon)
     linear = train_linear(train, target, "predicted_lr")
     forest = train_forest(train, target, "predicted_rf")
     scored = forest.transform(linear.transform(test))

@@ -855,6 +855,19 @@ def _(spark, sf):
     return rounded(cleaning.fill_with_global_mean(T.readings(spark, sf), POL), POL, 4)
 
 
+@add("fill_global_median", f"SELECT {KEYS}, coalesce(pm2_5, (SELECT median(pm2_5) FROM rdg)) AS pm2_5, coalesce(co, (SELECT median(co) FROM rdg)) AS co FROM rdg")
+def _(spark, sf):
+    return cleaning.fill_with_global_value(T.readings(spark, sf).select(S.STATION, S.TIME, "pm2_5", "co"), ["pm2_5", "co"], "median")
+
+
+MODE = "(SELECT {0} FROM rdg WHERE {0} IS NOT NULL GROUP BY {0} ORDER BY count(*) DESC, {0} LIMIT 1)"
+
+
+@add("fill_global_mode", f"SELECT {KEYS}, coalesce(pm2_5, {MODE.format('pm2_5')}) AS pm2_5, coalesce(co, {MODE.format('co')}) AS co FROM rdg")
+def _(spark, sf):
+    return cleaning.fill_with_global_value(T.readings(spark, sf).select(S.STATION, S.TIME, "pm2_5", "co"), ["pm2_5", "co"], "mode")
+
+
 @add("impute_missing", f"SELECT {KEYS}, {', '.join(f'{R(c, 4)} AS {c}' for c in POL)} FROM imp3")
 def _(spark, sf):
     return rounded(cleaning.impute(T.readings(spark, sf), POL), POL, 4)
@@ -1239,6 +1252,11 @@ def _(spark, sf):
     return rows.select(S.STATION, S.TIME, *[F.round(F.get(slots, F.lit(i)), 6).alias(n) for i, n in enumerate(names)])
 
 
+@add("forecast_target", f"SELECT {KEYS}, lead(aqi) OVER ({Q.W_STATION}) AS aqi_ahead FROM idx")
+def _(spark, sf):
+    return forecasting.ahead(T.indexed(spark, sf).select(S.STATION, S.TIME, "aqi")).drop("aqi")
+
+
 @add(
     "chronological_split",
     f"""SELECT {KEYS}, CASE WHEN e<=c THEN 'train' ELSE 'test' END AS part FROM (
