@@ -27,7 +27,7 @@ THRESHOLD = 0.8
 BUCKET_BITS = 20  # of the table of word frequencies
 BUSY = 1000  # lines with a word from which on settled lines are kept apart
 LEADERS = 2  # MinHash buckets of a line
-SENT = 500_000  # lines whose ids and places may travel to all executors; more are joined by a shuffle
+SENT = 500_000  # lines whose places may travel to all executors; more are joined by a shuffle
 # Capital ASCII letters become small ones, and white space within a line becomes blanks.
 _FROM, _TO = UPPER + "\t\x0b\x0c\r", UPPER.lower() + " " * 4
 _HASH_BITS = 63 - BUCKET_BITS
@@ -70,8 +70,8 @@ def _fewest(size: Column, threshold: float) -> Column:
 def _signed(lines: DataFrame, ranks: DataFrame, first: DataFrame, threshold: float) -> DataFrame:
     """One line of each set, with the keys of its prefix, rarest first, size, map and MinHash values.
 
-    A key is the bucket's rank followed by more bits of the word's hash; where it has to be small,
-    its low half is hashed, which can only add candidates.
+    A key is the bucket's rank followed by more bits of the word's hash. The keys of the prefix are
+    cut to 31 bits, which can only add candidates, and a last bit that tells busy words.
     """
     n = 1 << BUCKET_BITS
     # Scalar subqueries, evaluated once. Each is used in one place, so the optimizer puts it there;
@@ -90,23 +90,25 @@ def _signed(lines: DataFrame, ranks: DataFrame, first: DataFrame, threshold: flo
             lambda a, k: F.when(k.bitwiseAND(64) == 64 * half, a.bitwiseOR(_bit(k))).otherwise(a),
         )
 
+    def short(k: Column) -> Column:
+        return F.hash(k).bitwiseAND(-2).bitwiseOR((F.shiftright(k, _HASH_BITS) >= F.col("busy")).cast("int"))
+
     lows = [F.array_min(F.transform("keys", lambda k, i=i: F.xxhash64(k, F.lit(i)))) for i in range(LEADERS)]
     prefix = (F.col("size") - _fewest(F.col("size"), threshold) + 1).cast("int")
     signed = (
         with_table.select(
             "set",
             F.col("at").alias("place"),
-            "id",
-            "line",
             F.sort_array(F.transform("words", key)).alias("keys"),
             F.size("words").alias("size"),
             F.col("_busy").alias("busy"),
         )
         .select("*", bits(0).alias("map0"), bits(1).alias("map1"), F.array(*lows).alias("lows"))
-        .withColumn("keys", F.slice("keys", 1, prefix))
+        .withColumn("keys", F.transform(F.slice("keys", 1, prefix), short))
+        .drop("busy")
     )
     # Rows that repeat an id and its text have the same lines in the same places: one of each.
-    return signed.join(first.select("set", "place"), ["set", "place"], "left_semi").dropDuplicates(["set"]).drop("set")
+    return signed.join(first.select("set", "place"), ["set", "place"], "left_semi").dropDuplicates(["set", "place"]).drop("set")
 
 
 def _bit(k: Column) -> Column:
@@ -129,23 +131,17 @@ def _may_match(a: str, b: str, sa: Column, sb: Column, threshold: float) -> Colu
     return long_enough & (differ * (1 + threshold) <= (sa + sb) * (1 - threshold) + 1e-9)
 
 
-def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """The places of the later lines of pairs (``late``, ``early``) that are similar.
-
-    The words of the lines in question are read again from the documents.
-    """
+def _verified(pairs: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
+    """The places of the later lines of pairs (``late``, ``early``) that are similar."""
     pairs = materialise(pairs.distinct(), "line-pairs")
-    some = pairs.select(F.col("late").alias("place")).unionByName(pairs.select(F.col("early").alias("place"))).distinct()
-    some = materialise(signed.select("place", "id", "line").join(some, "place", "left_semi"), "line-wanted")
+    some = pairs.select(F.col("late").alias("at")).unionByName(pairs.select(F.col("early").alias("at"))).distinct()
+    some = materialise(some, "line-wanted")
     if some.count() <= SENT:
         some = F.broadcast(some)
-    content = F.element_at(F.split("text", "\n"), F.col("line") + 1)
-    words = docs.join(some.withColumnRenamed("id", "of"), F.col("id").eqNullSafe(F.col("of")))
-    words = words.select("place", "line", word_set(content).alias("words"), "id")
-    words = words.filter(_place(F.col("id"), F.col("line"), F.array_join("words", " ")) == F.col("place")).select("place", "words")
-    words = materialise(words.dropDuplicates(["place"]), "line-words")
-    late = words.select(F.col("place").alias("late"), F.col("words").alias("w"))
-    early = words.select(F.col("place").alias("early"), F.col("words").alias("v"))
+    # Rows that repeat an id and its text have the same lines in the same places: one of each.
+    words = materialise(lines.select("at", "words").join(some, "at", "left_semi").dropDuplicates(["at"]), "line-words")
+    late = words.select(F.col("at").alias("late"), F.col("words").alias("w"))
+    early = words.select(F.col("at").alias("early"), F.col("words").alias("v"))
     common = F.size(F.array_intersect("w", "v"))
     similar = common >= (F.size("w") + F.size("v") - common) * threshold - 1e-9
     return pairs.join(late, "late").join(early, "early").filter(similar).select("late").distinct()
@@ -162,19 +158,23 @@ def _led(signed: DataFrame, threshold: float) -> DataFrame:
 
 
 def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> DataFrame:
-    """Candidate pairs by prefix, positional and length filters; the later line is unsettled."""
-    marked = signed.join(settled.select(F.col("late").alias("place"), F.lit(False).alias("open")), "place", "left")
-    marked = marked.withColumn("open", F.coalesce("open", F.lit(True)))
+    """Candidate pairs by prefix, positional and length filters; one of a pair is unsettled.
+
+    Joined rows carry a line's place in the staged table, which is shorter than its place in the
+    corpus.
+    """
+    file = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
+    numbered = signed.select("*", (F.shiftleft(file, 33) + F.col("_metadata.row_index")).alias("row"))
+    numbered = numbered.drop("lows").join(settled.select(F.col("late").alias("place"), F.lit(False).alias("open")), "place", "left")
+    marked = numbered.withColumn("open", F.coalesce("open", F.lit(True)))
 
     def rows(length: Column, open_sides: tuple[int, int], settled_side: int) -> DataFrame:
-        cut = marked.select(
-            "place", "size", "map0", "map1", "open", "busy", F.posexplode(F.slice("keys", 1, length.cast("int"))).alias("at", "key")
-        )
+        cut = marked.select("row", "size", "map0", "map1", "open", F.posexplode(F.slice("keys", 1, length.cast("int"))).alias("at", "key"))
         # Under a busy word, settled and unsettled lines meet each other but not themselves.
-        busy = F.shiftright("key", _HASH_BITS) >= F.col("busy")
+        busy = F.col("key").bitwiseAND(1) == 1
         sides = F.when(~busy, F.array(F.lit(0))).when(F.col("open"), F.array(*map(F.lit, open_sides))).otherwise(F.array(F.lit(settled_side)))
         cut = cut.withColumn("side", F.explode(sides))
-        return cut.select("place", "map0", "map1", F.hash("key", "side").alias("key"), _packed("size", "at", "open").alias("pack"))
+        return cut.select("row", "map0", "map1", F.hash("key", "side").alias("key"), _packed("size", "at", "open").alias("pack"))
 
     size = F.col("size")
     share = 2 * threshold / (1 + threshold)
@@ -183,18 +183,19 @@ def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> DataFr
     y = rows(size - _fewest(size, threshold) + 1, (0, 2), 1).alias("y")
     (sx, ax, ox), (sy, ay, oy) = _unpacked(F.col("x.pack")), _unpacked(F.col("y.pack"))
     need = F.ceil((sx + sy) * (threshold / (1 + threshold)) - 1e-9)
-    x_late = F.col("x.place") > F.col("y.place")
     both = (
         (F.col("x.key") == F.col("y.key"))
         & (sx <= sy)
         & (F.least(sx - ax, sy - ay) >= need)
         & _may_match("x", "y", sx, sy, threshold)
-        & (F.col("x.place") != F.col("y.place"))
-        & F.when(x_late, ox).otherwise(oy)
-    )
-    return x.join(y, both).select(
-        F.greatest("x.place", "y.place").alias("late"), F.least("x.place", "y.place").alias("early")
+        & (F.col("x.row") != F.col("y.row"))
+        & (ox | oy)
     )
+    pairs = x.join(y, both).select(F.least("x.row", "y.row").alias("one"), F.greatest("x.row", "y.row").alias("two")).distinct()
+    places = numbered.select("row", "place")
+    one, two = (places.select(F.col("row").alias(n), F.col("place").alias(f"{n}_place")) for n in ("one", "two"))
+    placed = pairs.join(one, "one").join(two, "two")
+    return placed.select(F.greatest("one_place", "two_place").alias("late"), F.least("one_place", "two_place").alias("early"))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -210,11 +211,13 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lines = lines.select("*", F.array_join("words", " ").alias("key"))
     placed = _place(F.col("id"), F.col("line"), F.col("key"))
     lines = lines.select("id", "line", "words", F.unhex(F.md5("key")).alias("set"), placed.alias("at"))
+    # Staged, as splitting texts into words costs most and several steps read them.
+    lines = materialise(lines, "lines")
     first = lines.groupBy("set").agg(F.min("at").alias("place"), F.count(F.lit(1)).alias("n"))
     first = materialise(first, "line-sets")
     signed = materialise(_signed(lines, materialise(_ranks(lines), "line-ranks"), first, threshold), "line-signed")
-    settled = materialise(_verified(_led(signed, threshold), signed, docs, threshold), "line-settled")
-    late = settled.unionByName(_verified(_prefixed(signed, settled, threshold), signed, docs, threshold)).distinct()
+    settled = materialise(_verified(_led(signed, threshold), lines, threshold), "line-settled")
+    late = settled.unionByName(_verified(_prefixed(signed, settled, threshold), lines, threshold)).distinct()
     # Of a set that an earlier one repeats all lines go, of any other all but the first.
     marked = first.join(late.select(F.col("late").alias("place"), F.lit(True).alias("all")), "place", "left")
     marked = marked.withColumn("all", F.coalesce("all", F.lit(False))).filter("all OR n > 1").drop("n")
