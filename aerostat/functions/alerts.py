@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aerostat import schema as S
 
+# Names of the alerts; their texts are below.
 RAPID, HAZARDOUS = "RAPID_CHANGE_ALERT", "HAZARDOUS_AQI_ALERT"
 UNHEALTHY, SPIKE = "UNHEALTHY_AQI_ALERT", "PM25_SPIKE_ALERT"
 MIN_PREVIOUS = 10.0
@@ -36,6 +37,7 @@ def severity(kind: Column) -> Column:
     return F.when(kind == HAZARDOUS, F.lit("CRITICAL")).when(kind.isNotNull(), F.lit("WARNING"))
 
 
+# The texts.
 def message(kind: Column, station: Column, aqi: Column, pm2_5: Column, previous: Column) -> Column:
     """Text of the alert; numbers are rounded half-up to one place before printing."""
 

@@ -30,6 +30,7 @@ def is_weekend(ts: Column) -> Column:
     return F.dayofweek(ts).isin(1, 7)
 
 
+# Months and labels of the seasons.
 def season(ts: Column) -> Column:
     month = F.month(ts)
     return (

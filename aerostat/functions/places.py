@@ -22,6 +22,7 @@ def valid_position(latitude: Column, longitude: Column) -> Column:
     return latitude.between(-90.0, 90.0) & longitude.between(-180.0, 180.0)
 
 
+# Spreads in degrees and zoom steps.
 def zoom_level(stations: Column, spread: Column) -> Column:
     return (
         F.when((stations == 1) | (spread < 0.05), F.lit(12.5))
@@ -33,6 +34,7 @@ def zoom_level(stations: Column, spread: Column) -> Column:
     )
 
 
+# Weights of the score, limits and labels of its levels.
 def hotspot_score(unhealthy_pct: Column, mean_aqi: Column) -> Column:
     return F.round(unhealthy_pct * F.lit(0.6) + mean_aqi / F.lit(500.0) * F.lit(100.0) * F.lit(0.4), 2)
 

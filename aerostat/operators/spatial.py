@@ -52,6 +52,7 @@ def valid_coordinates(df: DataFrame) -> DataFrame:
 
 def _with_attributes(df: DataFrame) -> DataFrame:
     """Fill in attribute columns the table lacks with their fixed fallbacks."""
+    # Fixed values.
     fallback = {
         "station_name": F.col(S.STATION).cast("string"),
         "city": F.lit("Unknown"),

@@ -108,6 +108,7 @@ def jump_ratio(df: DataFrame, width: int = slices.DAY) -> DataFrame:
     return lag_value(df, "pm2_5", width=width).withColumn("pm25_jump_ratio", ratio)
 
 
+# Default limits and labels.
 def classify_anomalies(
     df: DataFrame, spike: float = 150.0, ratio: float = 3.0, width: int = slices.DAY
 ) -> DataFrame:

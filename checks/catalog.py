@@ -188,12 +188,10 @@ def _(spark, sf):
     UNION ALL SELECT 'beyond', count(*)=0 FROM rdg WHERE pm2_5 > 1000000""",
 )
 def _(spark, sf):
-    def check(df, name):
-        probe = df.limit(1).agg((F.count("*") == 0).alias("is_empty"))
-        return probe.select(F.lit(name).alias("dataset"), "is_empty")
-
     rows = T.readings(spark, sf)
-    return check(rows, "readings").unionByName(check(rows.filter(F.col("pm2_5") > 1000000), "beyond"))
+    probes = {"readings": rows, "beyond": rows.filter(F.col("pm2_5") > 1000000)}
+    answers = [(name, cleaning.is_empty(df)) for name, df in probes.items()]
+    return spark.createDataFrame(answers, "dataset string, is_empty boolean")
 
 
 @add(

@@ -28,6 +28,27 @@ def test_no_cross_join(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_sorted_queries_come_in_order(spark):
+    days = [r["date"] for r in QUERIES["sort_asc"](spark, SF_DIR).collect()]
+    assert days == sorted(days) and len(days) > 1
+    means = [r["mean_aqi"] for r in QUERIES["sort_desc"](spark, SF_DIR).collect()]
+    assert means == sorted(means, reverse=True) and len(means) > 1
+
+
+def test_cleaning_with_flags_and_audit_stages_its_rows_once(spark):
+    """One staged table of rows between the raw scan and the imputed rows, and no range of rows by station alone."""
+    import aerostat.plans.lineage as lineage
+
+    names = []
+    original = lineage.materialise
+    lineage.materialise = lambda df, name="stage": names.append(name) or original(df, name)
+    try:
+        cleaning.clean_readings(T.raw_readings(spark, SF_DIR), audit=True)
+    finally:
+        lineage.materialise = original
+    assert [n for n in names if n != "quantiles"] == ["filled", "imputed"]
+
+
 def test_index_is_narrow(spark):
     assert "Exchange" not in plan(indexing.aqi_enrich(T.readings(spark, SF_DIR)))
 
