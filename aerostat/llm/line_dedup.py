@@ -26,6 +26,7 @@ from aerostat.plans.lineage import materialise
 THRESHOLD = 0.8
 BUCKET_BITS = 20  # of the table of word frequencies
 BUSY = 1000  # lines with a word from which on settled lines are kept apart
+PASSES = 4  # of the join, by key: only the rows of one pass are on disk at a time
 LEADERS = 2  # MinHash buckets of a line
 SENT = 500_000  # lines whose places may travel to all executors; more are joined by a shuffle
 # Capital ASCII letters become small ones, and white space within a line becomes blanks.
@@ -168,8 +169,11 @@ def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> DataFr
     numbered = numbered.drop("lows").join(settled.select(F.col("late").alias("place"), F.lit(False).alias("open")), "place", "left")
     marked = numbered.withColumn("open", F.coalesce("open", F.lit(True)))
 
-    def rows(length: Column, open_sides: tuple[int, int], settled_side: int) -> DataFrame:
+    marked = materialise(marked, "line-marked")
+
+    def rows(length: Column, open_sides: tuple[int, int], settled_side: int, turn: int) -> DataFrame:
         cut = marked.select("row", "size", "map0", "map1", "open", F.posexplode(F.slice("keys", 1, length.cast("int"))).alias("at", "key"))
+        cut = cut.filter(F.pmod(F.shiftright("key", 1), F.lit(PASSES)) == turn)
         # Under a busy word, settled and unsettled lines meet each other but not themselves.
         busy = F.col("key").bitwiseAND(1) == 1
         sides = F.when(~busy, F.array(F.lit(0))).when(F.col("open"), F.array(*map(F.lit, open_sides))).otherwise(F.array(F.lit(settled_side)))
@@ -178,21 +182,26 @@ def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> DataFr
 
     size = F.col("size")
     share = 2 * threshold / (1 + threshold)
-    # The shorter line of a pair needs fewer words; of equally long ones both orders are tried.
-    x = rows(size - _fewest(size, share) + 1, (0, 1), 2).alias("x")
-    y = rows(size - _fewest(size, threshold) + 1, (0, 2), 1).alias("y")
-    (sx, ax, ox), (sy, ay, oy) = _unpacked(F.col("x.pack")), _unpacked(F.col("y.pack"))
-    need = F.ceil((sx + sy) * (threshold / (1 + threshold)) - 1e-9)
-    both = (
-        (F.col("x.key") == F.col("y.key"))
-        & (sx <= sy)
-        & (F.least(sx - ax, sy - ay) >= need)
-        & _may_match("x", "y", sx, sy, threshold)
-        & (F.col("x.row") != F.col("y.row"))
-        & (ox | oy)
-    )
-    pairs = x.join(y, both).select(F.least("x.row", "y.row").alias("one"), F.greatest("x.row", "y.row").alias("two")).distinct()
-    places = numbered.select("row", "place")
+    pairs = None
+    for turn in range(PASSES):
+        # The shorter line of a pair needs fewer words; of equally long ones both orders are tried.
+        x = rows(size - _fewest(size, share) + 1, (0, 1), 2, turn).alias("x")
+        y = rows(size - _fewest(size, threshold) + 1, (0, 2), 1, turn).alias("y")
+        (sx, ax, ox), (sy, ay, oy) = _unpacked(F.col("x.pack")), _unpacked(F.col("y.pack"))
+        need = F.ceil((sx + sy) * (threshold / (1 + threshold)) - 1e-9)
+        both = (
+            (F.col("x.key") == F.col("y.key"))
+            & (sx <= sy)
+            & (F.least(sx - ax, sy - ay) >= need)
+            & _may_match("x", "y", sx, sy, threshold)
+            & (F.col("x.row") != F.col("y.row"))
+            & (ox | oy)
+        )
+        met = x.join(y, both).select(F.least("x.row", "y.row").alias("one"), F.greatest("x.row", "y.row").alias("two"))
+        met = materialise(met.distinct(), "line-met")
+        pairs = met if pairs is None else pairs.unionByName(met)
+    pairs = pairs.distinct()
+    places = marked.select("row", "place")
     one, two = (places.select(F.col("row").alias(n), F.col("place").alias(f"{n}_place")) for n in ("one", "two"))
     placed = pairs.join(one, "one").join(two, "two")
     return placed.select(F.greatest("one_place", "two_place").alias("late"), F.least("one_place", "two_place").alias("early"))
