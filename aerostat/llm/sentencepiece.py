@@ -230,6 +230,21 @@ class Coder:
                 out.append(self.model.unknown)
         return np.array(out, "<i4").tobytes()
 
+    def parts(self, word: str) -> list[str]:
+        """The word cut between all neighbours that no piece holds together: after a word's last
+        letter, say, or between any two characters that are spelled in bytes."""
+        inner, n = self.inner, len(word)
+        cuts = [0, *[i for i in range(1, n) if word[i - 1 : i + 1] not in inner], n]
+        return [word[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def joined(self, parts: list[bytes]) -> bytes:
+        """Ids of parts in a row; without bytes, unknown ones that meet are one."""
+        if self.model.bytes:
+            return b"".join(parts)
+        ids = np.frombuffer(b"".join(parts), "<i4")
+        again = (ids[1:] == self.model.unknown) & (ids[:-1] == self.model.unknown)
+        return ids[np.concatenate([[True], ~again])].tobytes()
+
     def encode(self, text: str | None) -> np.ndarray:
         normal = self.normal(text or "")
         return np.frombuffer(b"".join(map(self.words.__getitem__, self.chunk.findall(normal))), "<i4")
@@ -250,10 +265,9 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
-        if ids is None and len(word) > 2 and word[-2:] not in self.coder.inner:
-            return self[word[:-1]] + self[word[-1]]  # no piece crosses: a stop after a word, say
         if ids is None:
-            ids = self.coder.ids(word)
+            parts = self.coder.parts(word)
+            ids = self.coder.joined([self[p] for p in parts]) if len(parts) > 1 else self.coder.ids(word)
         if len(word) <= LONG:
             if len(self) >= REMEMBERED:
                 self.older = dict(self)

@@ -319,3 +319,21 @@ def test_columns_are_coded_and_decoded(table, model, library):
         assert r["back"] == (r["text"] or "").replace("▁", " ")
     empty = table([]).withColumn("ids", sentencepiece.encode(F.col("text"), model))
     assert empty.collect() == []
+
+
+@pytest.mark.parametrize("run", ["天地玄黃宇宙洪荒龘靐", "🙂🙃🚀🫠", "☃☄★☎", "ก็ไปที่โน่น"])
+def test_encoding_of_long_runs_without_a_blank(run):
+    import sentencepiece as library
+
+    reference = library.SentencePieceProcessor(model_file=MODEL)
+    coder = sentencepiece.Coder(sentencepiece.load(MODEL))
+    text = (run * (100_000 // len(run) + 1))[:100_000]
+    for t in (text, f"some words {text}\n{text[:5000]} and more"):
+        assert coder.encode(t).tolist() == reference.encode(t)
+
+
+def test_unknown_characters_that_meet_are_one():
+    pieces = {"▁": (1, -1.0), "a": (2, -1.0), "▁a": (3, -0.5)}
+    for merges in (True, False):
+        coder = sentencepiece.Coder(sentencepiece.Model(pieces, {}, 0, [], merges))
+        assert coder.encode("axyaxx").tolist() == [3, 0, 2, 0]
