@@ -32,6 +32,7 @@ SENT = 500_000  # lines whose places may travel to all executors; more are joine
 # Capital ASCII letters become small ones, and white space within a line becomes blanks.
 _FROM, _TO = UPPER + "\t\x0b\x0c\r", UPPER.lower() + " " * 4
 _HASH_BITS = 63 - BUCKET_BITS
+_LINES = 1 << 31  # of a text at most
 
 
 def word_set(line: Column) -> Column:
@@ -39,15 +40,17 @@ def word_set(line: Column) -> Column:
     return F.sort_array(F.array_distinct(F.array_remove(F.split(line, " "), "")))
 
 
-def _place(key: Column, line: Column, words: Column) -> Column:
-    """Order of lines as one number: documents by id, those without an id last, then by place.
+def _document(key: Column, text: Column) -> Column:
+    """Order of documents as one number, with room for the lines: by id, those without an id last.
 
-    Ids are whole numbers. Different lines in one place (of documents that share an id, or have
-    none) are told apart by eight digits of a hash.
+    Ids are whole numbers. A document is its id and its text: of those that share an id 31 bits of
+    a hash of the text tell which is first, of those without an id 94 bits.
     """
-    top = F.coalesce(key.cast("decimal(19,0)"), F.lit("9999999999999999999").cast("decimal(19,0)"))
-    low = line.cast("decimal(18,0)") * 100_000_000 + F.pmod(F.xxhash64(words), F.lit(100_000_000))
-    return (top * F.lit(10**18).cast("decimal(19,0)") + low.cast("decimal(18,0)")).cast("decimal(38,0)")
+    digest = F.xxhash64(text).bitwiseAND((1 << 63) - 1).cast("decimal(20,0)")
+    top = F.coalesce(key.cast("decimal(20,0)"), digest + F.lit(str(10**19)).cast("decimal(20,0)")).cast("decimal(20,0)")
+    low = F.hash(text).bitwiseAND(_LINES - 1).cast("decimal(10,0)")
+    document = top * F.lit(_LINES).cast("decimal(10,0)") + low
+    return (document.cast("decimal(30,0)") * F.lit(_LINES).cast("decimal(10,0)")).cast("decimal(38,0)")
 
 
 def _ranks(lines: DataFrame) -> DataFrame:
@@ -208,18 +211,20 @@ def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> DataFr
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Id and line number (from 0) of every line that an earlier line repeats, with its place.
+    """``document`` and line number (from 0) of every line that an earlier line repeats.
 
-    Lines end at each line feed. A line without words is never repeated. Rows that repeat an id
-    count as one document with the same places, so a copy of a row repeats nothing of it; lines of
-    documents without an id come last. Null texts have one empty line.
+    ``document`` is the number that ``_document`` gives to id and text. Lines end at each line feed.
+    A line without words is never repeated. Rows that repeat an id and its text count as one
+    document, so a copy of a row repeats nothing of it; different texts of one id, or without an
+    id, are documents of their own. Lines of documents without an id come last. Null texts have one
+    empty line.
     """
-    docs = docs.select(F.col(id_col).alias("id"), F.translate(whole(F.col(text_col)), _FROM, _TO).alias("text"))
-    lines = docs.select("id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    lines = lines.select("id", "line", word_set(F.col("content")).alias("words")).filter(F.size("words") > 0)
-    lines = lines.select("*", F.array_join("words", " ").alias("key"))
-    placed = _place(F.col("id"), F.col("line"), F.col("key"))
-    lines = lines.select("id", "line", "words", F.unhex(F.md5("key")).alias("set"), placed.alias("at"))
+    docs = docs.select(F.col(id_col).alias("id"), whole(F.col(text_col)).alias("text"))
+    docs = docs.select(_document(F.col("id"), F.col("text")).alias("document"), F.translate("text", _FROM, _TO).alias("text"))
+    lines = docs.select("document", F.posexplode(F.split("text", "\n")).alias("line", "content"))
+    lines = lines.select("document", "line", word_set(F.col("content")).alias("words")).filter(F.size("words") > 0)
+    placed = (F.col("document") + F.col("line").cast("decimal(10,0)")).cast("decimal(38,0)")
+    lines = lines.select("words", F.unhex(F.md5(F.array_join("words", " "))).alias("set"), placed.alias("at"))
     # Staged, as splitting texts into words costs most and several steps read them.
     lines = materialise(lines, "lines")
     first = lines.groupBy("set").agg(F.min("at").alias("place"), F.count(F.lit(1)).alias("n"))
@@ -230,8 +235,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Of a set that an earlier one repeats all lines go, of any other all but the first.
     marked = first.join(late.select(F.col("late").alias("place"), F.lit(True).alias("all")), "place", "left")
     marked = marked.withColumn("all", F.coalesce("all", F.lit(False))).filter("all OR n > 1").drop("n")
-    found = lines.select("id", "line", "at", "set").join(marked, "set")
-    return found.filter(F.col("all") | (F.col("at") > F.col("place"))).select("id", "line")
+    found = lines.select("at", "set").join(marked, "set").filter(F.col("all") | (F.col("at") > F.col("place")))
+    line = F.pmod("at", F.lit(_LINES).cast("decimal(10,0)"))
+    return found.select((F.col("at") - line).cast("decimal(38,0)").alias("document"), line.cast("int").alias("line"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -241,11 +247,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     line goes stays as it is, null too; one of which all go becomes empty. See ``repeated_lines``.
     """
     docs = docs.drop("n_lines", "removed")
-    gone = repeated_lines(docs, id_col, text_col, threshold).groupBy("id").agg(F.sort_array(F.collect_set("line")).alias("removed"))
-    other = fresh(docs, "gone_id")
-    gone = gone.withColumnRenamed("id", other)
+    gone = repeated_lines(docs, id_col, text_col, threshold).groupBy("document").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    other = fresh(docs, "gone_from")
+    gone = gone.withColumnRenamed("document", other)
     counted = docs.withColumn("n_lines", F.size(F.split(whole(F.col(text_col)), "\n")).cast("long"))
-    joined = counted.join(gone, F.col(id_col).eqNullSafe(F.col(other)), "left").drop(other)
+    joined = counted.join(gone, _document(F.col(id_col), whole(F.col(text_col))) == F.col(other), "left").drop(other)
     kept = F.filter(F.split(whole(F.col(text_col)), "\n"), lambda _, i: ~F.array_contains("removed", i))
     cleaned = F.when(F.col("removed").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     removed = F.coalesce("removed", F.array().cast("array<int>"))

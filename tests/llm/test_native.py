@@ -134,6 +134,29 @@ def test_line_dedup_of_rows_without_an_id_and_of_repeated_rows(table):
     assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == [(0, ""), (0, ""), (1, "one two three"), (1, "one two three"), (2, "four five")]
 
 
+def test_line_dedup_tells_documents_without_an_id_or_of_one_id_apart(table):
+    rows = [(1, "one two three"), (None, "one two three"), (None, "only here"), (None, "only there\none two three")]
+    rows += [(7, "first of seven\none two three"), (7, "second of seven\nstill its own"), (-(2**63), "low id"), (2**63 - 1, "high id\nlow id")]
+    got = line_dedup.line_dedup(table(rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"], r["removed"]) for r in got) == [
+        (-(2**63), "low id", []),
+        (0, "", [0]),
+        (0, "only here", []),
+        (0, "only there", [1]),
+        (1, "one two three", []),
+        (7, "first of seven", [1]),
+        (7, "second of seven\nstill its own", []),
+        (2**63 - 1, "high id", [1]),
+    ]
+
+
+@pytest.mark.parametrize("key", [None, 3])
+def test_line_dedup_of_equal_lines_in_one_place_of_different_texts(table, key):
+    rows = [(key, f"shared line of all\nown line number{i} word{i}") for i in range(20)]
+    got = sorted(r["removed"] for r in line_dedup.line_dedup(table(rows)).collect())
+    assert got == [[]] + [[0]] * 19
+
+
 def test_line_dedup_of_an_empty_table(table):
     assert line_dedup.line_dedup(table([])).collect() == []
 
