@@ -213,7 +213,10 @@ def near_duplicates(
     the threshold, and ``class_id`` is the smallest id of all documents that links connect. Null,
     empty and wordless texts have no shingles: each is its own class, without copies or links. Rows
     that repeat an id count one by one; null ids are never the smallest. Other columns are not read.
+    The bands are set for ``THRESHOLD``; a lower one, at which they would miss many pairs, raises.
     """
+    if not threshold >= THRESHOLD:
+        raise ValueError(f"the bands are set for thresholds from {THRESHOLD} on, not {threshold}")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["id"]
     docs_seen = materialise(rows.mapInArrow(_summaries(width), f"id {kind}, digest binary, bands array<bigint>"), "near-docs")

@@ -178,6 +178,12 @@ def test_pruning_keeps_what_may_reach_the_threshold():
     assert (np.diff(fewest) >= 0).all() and fewest[130] < 0.8 * 130 and fewest[130] > 0.5 * 130
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.79, float("nan")])
+def test_near_duplicates_refuse_thresholds_the_bands_are_not_set_for(table, threshold):
+    with pytest.raises(ValueError, match="bands"):
+        jaccard_join.near_duplicates(table([]), threshold=threshold)
+
+
 def test_near_duplicates_of_an_empty_table(table):
     assert jaccard_join.near_duplicates(table([])).collect() == []
     assert len(jaccard_join.near_duplicates(table([(1, None), (2, "")])).collect()) == 2
