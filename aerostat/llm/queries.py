@@ -18,6 +18,7 @@ from aerostat.llm import (
     quality,
     sentencepiece,
     sharding,
+    spelling,
 )
 from aerostat.llm.common import remainder, short_batches, whole
 
@@ -132,6 +133,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    short_batches(spark)
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_decontamination": op2_decontamination,
@@ -143,6 +149,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_sharding": op10_sharding,
+    "op11_spelling": op11_spelling,
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

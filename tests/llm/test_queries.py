@@ -25,7 +25,7 @@ def test_query_agrees_with_sql(spark, name):
     assert sorted((tuple(r) for r in df.select(*names).collect()), key=str) == rows
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op11_spelling"}))  # that one has a row per word
 def test_query_covers_its_table(spark, name):
     source, key = ("pages", "page_id") if name.startswith("op7") else ("documents", "doc_id")
     ids = sorted(r[0] for r in spark.read.parquet(f"{SF}/{source}.parquet").select(key).collect())
