@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +38,26 @@ def with_scalar(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, one_row.select(F.struct(*one_row.columns)).scalar())
 
 
-def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write the frame once as Parquet in the shared folder and read it back."""
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def materialise(df: DataFrame, name: str = "stage", by: Sequence[str] = ()) -> DataFrame:
+    """Write the frame once as Parquet in the shared folder, partitioned by some columns, and read
+    it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    _paths[staged] = path
+    return staged
+
+
+def release(*staged: DataFrame) -> None:
+    """Free the space of staged frames whose last reader is done: their tables become empty.
+
+    A frame that ``materialise`` did not return is left alone.
+    """
+    for df in staged:
+        path = _paths.pop(df, None)
+        if path is not None:
+            df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
