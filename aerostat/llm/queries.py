@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aerostat.llm import (
     class_lm,
+    collocations,
     decontamination,
     exact_dedup,
     html_extraction,
@@ -138,6 +139,11 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    short_batches(spark)
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_decontamination": op2_decontamination,
@@ -150,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_sharding": op10_sharding,
     "op11_spelling": op11_spelling,
+    "op12_collocations": op12_collocations,
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -186,4 +193,37 @@ WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
     doc_id = min(doc_id) OVER g AS kept, sha256(t) AS text_sha256
 FROM d WINDOW g AS (PARTITION BY t)""",
+    "op12_collocations": r"""
+WITH d AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+),
+piece AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+p AS (SELECT lang, [w FOR w IN string_split_regex(piece, '[\x20\x09]+') IF w <> ''] AS ws FROM piece),
+f AS (
+    SELECT lang, m, array_to_string(ws[k:k + m - 1], ' ') AS phrase, count(*) AS n
+    FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS k FROM p, (VALUES (1), (2), (3), (4), (5)) AS v(m) WHERE len(ws) >= m)
+    GROUP BY ALL HAVING count(*) >= 100
+),
+total AS (SELECT lang, sum(len(ws)) AS n FROM p GROUP BY lang),
+cand AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS ws, n AS a FROM f WHERE m > 1),
+kept AS (
+    SELECT * FROM cand AS c WHERE NOT EXISTS (
+        SELECT 1 FROM cand AS o WHERE o.lang = c.lang AND o.m > c.m AND 100 * o.a >= 100 * c.a
+            AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))
+),
+cut AS (
+    SELECT lang, phrase, a, k, array_to_string(ws[:k], ' ') AS x, array_to_string(ws[k + 1:], ' ') AS y
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM kept)
+),
+scored AS (
+    SELECT cut.lang, cut.phrase, a, k, fx.n AS l, fy.n AS r, total.n AS n,
+        (1000::HUGEINT * a * total.n) // (fx.n::HUGEINT * fy.n) AS score
+    FROM cut JOIN f AS fx ON fx.lang = cut.lang AND fx.phrase = x JOIN f AS fy ON fy.lang = cut.lang AND fy.phrase = y
+        JOIN total ON total.lang = cut.lang
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000""",
 }
