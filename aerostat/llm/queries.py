@@ -15,6 +15,7 @@ from aerostat.llm import (
     html_extraction,
     jaccard_join,
     language_id,
+    license_scan,
     line_dedup,
     quality,
     sentencepiece,
@@ -144,6 +145,21 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"), into="scan")
+    base, places = F.col("scan.base"), F.col("scan.places")
+    return found.select(
+        "doc_id",
+        F.col("scan.n_words").cast("long").alias("n_words"),
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(base["first"]).cast("long").alias("first_word"),
+        F.array_max(base["first"]).cast("long").alias("last_word"),
+        license_scan.labels_of(base).alias("base_labels"),
+        license_scan.labels_of(places).alias("labels"),
+        license_scan.confidence(places).alias("score"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_decontamination": op2_decontamination,
@@ -157,6 +173,7 @@ QUERIES: dict[str, Query] = {
     "op10_sharding": op10_sharding,
     "op11_spelling": op11_spelling,
     "op12_collocations": op12_collocations,
+    "op13_licenses": op13_licenses,
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -226,4 +243,5 @@ scored AS (
 lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
 SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000""",
+    "op13_licenses": license_scan.oracle(),
 }
