@@ -14,7 +14,8 @@ themselves are kept by the phrases' own text, so the result is exact.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import partial
 from zlib import crc32
 
 import numpy as np
@@ -25,24 +26,25 @@ from pyspark.sql import functions as F
 from aerostat.llm.common import ascii_lower, whole
 from aerostat.plans.lineage import materialise, release
 
-SHARDS = 3
+SHARDS = 2
 LONGEST = 5  # words of a phrase
 FEWEST = 100  # occurrences of a phrase
 BEST = 2000  # phrases reported per language
 BUCKET_BITS = 23
 UNKNOWN = "und"
 _NEVER = 255  # scan number of buckets that are not frequent
-_HELD = 2_000_000  # words that a task holds before it counts them
+_HELD = 3_000_000  # words that a task holds before it counts them
+_ODD, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)  # mix bits
 _STOPS = ".,;:!?\n\x0b\x0c\r"
 _END = "\n"  # stands for the end of a piece; no word holds it
 _ROWS = "lang string, phrase string, length int, since int, n long"
 
 
 class _Words(dict):
-    """Numbers of words in order of first sight; 0 ends a piece and 1 is the empty word."""
+    """Numbers of words in order of first sight; 0 ends a piece."""
 
     def __init__(self) -> None:
-        super().__init__({_END: 0, "": 1})
+        super().__init__({_END: 0})
 
     def __missing__(self, word: str) -> int:
         self[word] = n = len(self)
@@ -58,20 +60,41 @@ class _Held:
         self.size = 0
 
     def add(self, text: str) -> None:
-        for stop in _STOPS:
-            text = text.replace(stop, " \n ")
-        words = text.replace("\t", " ").split(" ")
-        run = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-        self.runs += [run[run != 1], np.zeros(1, np.int64)]
-        self.size += len(run) + 1
+        words = text.split(" ") if text else []
+        self.runs += [np.fromiter(map(self.words.__getitem__, words), np.int64, len(words)), np.zeros(1, np.int64)]
+        self.size += len(words) + 1
+
+
+def _spaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as words and ends of pieces with one blank between them, so that scans only split."""
+    for batch in batches:
+        texts = []
+        for text in batch.column(1).to_pylist():
+            for stop in _STOPS:
+                text = text.replace(stop, " \n ")
+            texts.append(" ".join(filter(None, text.replace("\t", " ").split(" "))))
+        yield pa.record_batch([batch.column(0), pa.array(texts, pa.string()), batch.column(2)], ["lang", "text", "shard"])
+
+
+def _hashes(lang: str, words: Iterable[str]) -> np.ndarray:
+    """Numbers of the words of a language."""
+    start = crc32(f"{lang}\n".encode())
+    return np.array([crc32(w.encode(), start) for w in words], np.uint64)
+
+
+def _longer(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Numbers of phrases with one word more, from those of the phrase and the word."""
+    return (phrase ^ (phrase >> _SHIFT)) * _ODD + word
+
+
+def _buckets(phrase: np.ndarray, buckets: int) -> np.ndarray:
+    return (((phrase ^ (phrase >> _SHIFT)) * _ODD) >> np.uint64(32)).astype(np.int64) & (buckets - 1)
 
 
 def _phrases(lang: str, held: _Held, since: np.ndarray, scan: int, shards: int) -> Iterator[pa.RecordBatch]:
     """Rows of ``_ROWS``: what this scan has to count in the held words."""
-    mask = len(since) - 1
     words = list(held.words)
-    start = crc32(f"{lang}\n".encode())
-    sums = [crc32(w.encode(), start) for w in words]
+    number = _hashes(lang, words)
     at = np.concatenate(held.runs)
 
     def rows(phrases: list[str], length: int, begun: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -81,39 +104,37 @@ def _phrases(lang: str, held: _Held, since: np.ndarray, scan: int, shards: int)
         return pa.record_batch(columns, ["lang", "phrase", "length", "since", "n"])
 
     if scan < shards:
-        n = np.bincount(at, minlength=len(words))[2:]
-        seen = np.flatnonzero(n)
-        yield rows([words[i + 2] for i in seen], 1, np.zeros(len(seen)), n[seen])
-    # Number of the phrase that starts at each place, -1 where no frequent one does.
-    code = np.where(at > 0, at, -1)
-    frequent = since[np.array(sums, np.int64) & mask]
-    spaced = [b" " + w.encode() for w in words]
-    last = np.arange(len(words))
-    steps: list[tuple[np.ndarray, np.ndarray]] = []  # of each length: the phrase without its last word, that word
+        n = np.bincount(at, minlength=len(words))[1:]
+        yield rows(words[1:], 1, np.zeros(len(n)), n)
+    # The scan from which the phrase that starts at each place is frequent; ends of pieces never are.
+    of_word = since[_buckets(number, len(since))]
+    of_word[0] = _NEVER
+    frequent = of_word[at]
+    phrase = number[at]
     for length in range(2, LONGEST + 1):
-        ok = np.zeros(len(code), bool)
-        ok[code >= 0] = frequent[code[code >= 0]] <= scan
+        ok = frequent <= scan
         places = np.flatnonzero(ok[:-1] & ok[1:])
         if not len(places):
             return
-        key, which, n = np.unique(code[places] * len(frequent) + code[places + 1], return_inverse=True, return_counts=True)
-        first, rest = key // len(frequent), key % len(frequent)
-        begun = np.maximum(frequent[first], frequent[rest])
-        end = last[rest]
-        steps.append((first, end))
-        due = np.flatnonzero(scan - begun.astype(np.int64) < shards)
-        if len(due):
-            ends, rest = [], due
-            for before, word in reversed(steps):
-                ends.append(word[rest].tolist())
-                rest = before[rest]
-            chosen = zip(rest.tolist(), *reversed(ends))
-            yield rows([" ".join([words[w] for w in phrase]) for phrase in chosen], length, begun[due], n[due])
-        sums = [crc32(spaced[e], sums[f]) for f, e in zip(first.tolist(), end.tolist())]
-        code = np.full(len(code), -1)
-        code[places] = which
-        frequent = since[np.array(sums, np.int64) & mask]
-        last = end
+        begun = np.maximum(frequent[places], frequent[places + 1])
+        due = scan - begun.astype(np.int64) < shards
+        if due.any():
+            # Equal phrases get equal numbers word by word, so that no checksum decides.
+            first = places[due]
+            code = at[first]
+            for more in range(1, length):
+                _, which, code, n = np.unique(
+                    code * len(words) + at[first + more], return_index=True, return_inverse=True, return_counts=True
+                )
+            ends = [at[first[which] + more].tolist() for more in range(length)]
+            chosen = [" ".join([words[w] for w in phrase_]) for phrase_ in zip(*ends)]
+            yield rows(chosen, length, begun[due][which], n)
+        if length < LONGEST:
+            grown = _longer(phrase[places], number[at[places + length - 1]])
+            phrase[places] = grown
+            frequent = np.full(len(at), _NEVER, np.uint8)
+            # Not before its own count began: its bucket may have been frequent by another phrase.
+            frequent[places] = np.maximum(since[_buckets(grown, len(since))], begun)
 
 
 def _scan(shard: DataFrame, since: np.ndarray, scan: int, shards: int) -> DataFrame:
@@ -139,10 +160,22 @@ def _scan(shard: DataFrame, since: np.ndarray, scan: int, shards: int) -> DataFr
     return shard.select("lang", "text").mapInArrow(count, _ROWS)
 
 
+def _numbered(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = np.zeros(batch.num_rows, np.int64)
+        for i, (lang, phrase) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            words = _hashes(lang, phrase.split(" "))
+            number = words[:1]
+            for k in range(1, len(words)):
+                number = _longer(number, words[k : k + 1])
+            found[i] = _buckets(number, buckets)[0]
+        yield pa.record_batch([pa.array(found)], ["bucket"])
+
+
 def _bits(frequent: DataFrame, buckets: int) -> np.ndarray:
     """Numbers of the buckets that the phrases fall into, brought to the driver as bit maps."""
-    number = F.crc32(F.concat_ws("\n", "lang", "phrase").cast("binary")).bitwiseAND(buckets - 1)
-    rows = frequent.select(number.alias("bucket")).groupBy(F.bitmap_bucket_number("bucket").alias("part"))
+    numbered = frequent.select("lang", "phrase").mapInArrow(partial(_numbered, buckets=buckets), "bucket long")
+    rows = numbered.groupBy(F.bitmap_bucket_number("bucket").alias("part"))
     maps = rows.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bucket")).alias("map")).collect()
     found = [np.zeros(0, np.int64)]
     for part, bits in maps:  # parts count from 1, after the part 0 of the bucket 0 alone
@@ -162,7 +195,8 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN))
     text = ascii_lower(whole(F.col(text_col)))
     dealt = docs.select(lang.alias("lang"), text.alias("text"))
-    dealt = materialise(dealt.withColumn("shard", F.pmod(F.xxhash64("lang", "text"), F.lit(shards)).cast("int")), "phrase-shards", ["shard"])
+    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("lang", "text"), F.lit(shards)).cast("int"))
+    dealt = materialise(dealt.mapInArrow(_spaced, "lang string, text string, shard int"), "phrase-shards", ["shard"])
     buckets = 1 << BUCKET_BITS
     since = np.full(buckets, _NEVER, np.uint8)
     settled: list[DataFrame] = []

@@ -3,11 +3,11 @@
 import random
 import re
 from collections import Counter
+from itertools import product
 
 import numpy as np
 import pytest
 from llm_rows import LONG, ODD
-from pyspark.sql import functions as F
 
 from aerostat.llm import collocations as C
 
@@ -102,12 +102,17 @@ def test_exact_scores_beyond_64_bits(spark):
     assert row.selectExpr(score).first()[0] == 1000 * 90000000000000 * 3000000000000000 // (90000000000001 * 90000000000007)
 
 
-def test_buckets_come_back_as_sent(spark):
-    rows = [("en", f"phrase {i}") for i in range(500)]
+def test_buckets_come_back_as_the_scan_numbers_them(spark):
+    rows = [("en", " ".join(p)) for p in product("abcé", repeat=3)] + [("fr", "a")]
     df = spark.createDataFrame(rows, "lang string, phrase string")
-    want = {r[0] for r in df.select(F.crc32(F.concat_ws("\n", "lang", "phrase").cast("binary")) % 65536).collect()}
-    assert set(C._bits(df, 65536).tolist()) == want
-    assert C._bits(df.filter("false"), 65536).tolist() == [] and set(C._bits(df, 1)) == {np.int64(0)}
+    want = set()
+    for lang, phrase in rows:
+        number = C._hashes(lang, phrase.split())
+        for _ in range(len(number) - 1):
+            number = np.concatenate([C._longer(number[:1], number[1:2]), number[2:]])
+        want.add(int(C._buckets(number, 65536)[0]))
+    assert set(C._bits(df, 65536).tolist()) == want and len(want) > 60
+    assert C._bits(df.filter("false"), 65536).tolist() == [] and set(C._bits(df, 1).tolist()) == {0}
 
 
 def test_odd_rows(spark, table):
