@@ -1,21 +1,43 @@
-"""Exact quantiles by counting, without gathering a column in one task.
+"""Exact quantiles in two reads, without gathering a column in one task.
 
-``percentile`` keeps every distinct value of the column in one reducer. Here the range of a
-column's values is cut into ``CELLS`` equal cells, the readings are counted per cell on the map
-side, and only the cells that hold a wanted rank are cut again, until such a cell holds a single
-value. Each level moves at most ``CELLS`` rows per column and wanted cell, however many readings
-or distinct values there are, and orders cells, never readings.
+``percentile`` keeps every distinct value of the column in one reducer. Here a mergeable sketch of
+each column (one read) gives an interval of values around every wanted rank. The second read counts
+the readings below each interval and, value by value, those inside it: a few hundredths of the
+rows at most, combined on the map side and staged. The ranks are then searched in that table alone: an
+interval is cut into ``CELLS`` equal cells, the cell that holds the rank is cut again, until it
+holds a single value. Cells are ordered, never readings.
+
+A sketch may miss; the counts show it, and the interval of such a rank is widened to the whole range
+and read again, so the result never depends on the sketch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass, replace
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aerostat.plans.lineage import materialise
+from aerostat.plans.lineage import materialise, release
 
 CELLS = 65_536
-_MOST_LEVELS = 500  # four or five are usual; values over all magnitudes take up to 150
+SKETCH = 1024  # size of the sketches; a rank may be off by half a hundredth of the rows
+MARGIN = 0.01  # of the rows, that an interval reaches beyond its ranks on either side
+_MOST_LEVELS = 500  # one or two are usual; values over all magnitudes take up to 150
+
+
+@dataclass(frozen=True)
+class _Search:
+    """A rank of a column, somewhere in the closed interval, above ``below`` readings."""
+
+    variable: str
+    p: float
+    fraction: float
+    rank: int
+    lo: float
+    hi: float
+    below: int = 0
+    bracket: int = 0
 
 
 def _cell(v: Column, low: Column, high: Column, cells: int) -> Column:
@@ -33,73 +55,155 @@ def exact_quantiles(
     probabilities: list[float],
     interpolate: bool = True,
     cells: int = CELLS,
+    margin: float = MARGIN,
 ) -> DataFrame:
     """Rows ``(variable, p, value)`` for every column with a value.
 
     With ``interpolate`` the value is linear between the two nearest ranks, otherwise it is the
     smallest observed value whose share reaches ``p``. NULL and NaN are missing values. The
-    levels run while the plan is built; each leaves a table of a few rows in the shared folder.
+    input is read while the plan is built; the driver keeps a few numbers per column and
+    probability, the shared folder the readings near the wanted ranks until they are found.
     """
-    values = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
-    ends = df.agg(*[f(values[c]).alias(f"{n}_{c}") for c in columns for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))])
-    start = ends.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("variable"), F.col(f"n_{c}").alias("n"), F.col(f"lo_{c}").alias("lo"), F.col(f"hi_{c}").alias("hi"))
-                    for c in columns
-                ]
+    values = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double") + F.lit(0.0)) for c in columns}
+    open_, ends = _bracketed(df, values, probabilities, interpolate, margin)
+    done: list[_Search] = []
+    while open_:
+        near, counted = _near(df, values, open_)
+        held = [s for s in counted if 0 <= s.rank - s.below < near.sizes[s.bracket]]
+        for _ in range(_MOST_LEVELS):
+            done += [s for s in held if s.lo >= s.hi]
+            held = [s for s in held if s.lo < s.hi]
+            if not held:
+                break
+            held = _narrowed(near.rows, held, cells)
+        else:
+            raise RuntimeError("quantiles did not settle")
+        release(near.staged)
+        missed = [s for s in counted if not 0 <= s.rank - s.below < near.sizes[s.bracket]]
+        open_ = [replace(s, lo=ends[s.variable][0], hi=ends[s.variable][1], below=0) for s in missed]
+    return _found(df.sparkSession, done)
+
+
+def _bracketed(
+    df: DataFrame, values: dict[str, Column], probabilities: list[float], interpolate: bool, margin: float
+) -> tuple[list[_Search], dict[str, tuple[float, float]]]:
+    """An interval around each wanted rank from one sketch per column, and each column's range."""
+    per_column = [
+        f(values[c]).alias(f"{n}_{c}")
+        for c in values
+        for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max), ("sketch", lambda v: F.kll_sketch_agg_double(v, SKETCH)))
+    ]
+    row = df.agg(*per_column)
+    told = []
+    for c in values:
+        n = F.col(f"n_{c}")
+
+        shares = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-margin, margin)]
+        sketched = F.kll_sketch_get_quantile_double(F.col(f"sketch_{c}"), F.array(*map(F.lit, shares)))
+
+        def at(i: int, end: str, c: str = c, n: Column = n) -> Column:
+            """A sketched end of the interval; the column's own where a margin is not even a few rows."""
+            return F.when(n * margin < 4, F.col(f"{end}_{c}")).otherwise(F.get(F.col(f"at_{c}"), F.lit(i)))
+
+        row = row.withColumn(f"at_{c}", F.when(n > 0, sketched))  # an empty sketch has no quantiles
+        for i, p in enumerate(probabilities):
+            r = _ranks(p, n, interpolate)
+            inside = F.struct(
+                F.lit(c).alias("variable"),
+                r["p"].alias("p"),
+                r["fraction"].alias("fraction"),
+                r["low"].alias("low"),
+                r["high"].alias("high"),
+                at(2 * i, "lo").alias("lo"),
+                at(2 * i + 1, "hi").alias("hi"),
+                F.col(f"lo_{c}").alias("least"),
+                F.col(f"hi_{c}").alias("most"),
             )
+            told.append(F.when(n > 0, inside))
+    found = row.select(F.explode(F.array_compact(F.array(*told))).alias("r")).select("r.*").collect()
+    searches = [
+        _Search(r.variable, r.p, r.fraction, rank, r.lo, r.hi) for r in found for rank in sorted({r.low, r.high})
+    ]
+    return searches, {r.variable: (r.least, r.most) for r in found}
+
+
+@dataclass(frozen=True)
+class _Near:
+    """Readings inside the brackets, as ``variable, v, n``, and how many each bracket holds."""
+
+    rows: DataFrame
+    staged: DataFrame
+    sizes: dict[int, int]
+
+
+def _near(df: DataFrame, values: dict[str, Column], searches: list[_Search]) -> tuple[_Near, list[_Search]]:
+    """One read of the input: what lies inside the brackets is staged, what lies below is counted."""
+    # The brackets of a column cut its values into zones; every reading is in one of them.
+    cuts = {c: sorted({v for s in searches if s.variable == c for v in (s.lo, s.hi)}) for c in {s.variable for s in searches}}
+    hits = []
+    for c, at in cuts.items():
+        # Zone 2i holds what is below the i-th cut, zone 2i + 1 the cut itself.
+        zone, wanted = F.lit(None).cast("int"), F.lit(False)
+        for i, cut in reversed(list(enumerate(at))):
+            zone = F.when(values[c] < cut, 2 * i).when(values[c] == cut, 2 * i + 1).otherwise(zone)
+        for s in searches:
+            if s.variable == c:
+                wanted |= values[c].between(s.lo, s.hi)
+        hits.append(F.when(values[c] <= at[-1], F.struct(F.lit(c).alias("variable"), zone.alias("zone"), F.when(wanted, values[c]).alias("v"))))
+    taken = df.select(F.explode(F.array_compact(F.array(*hits))).alias("x")).groupBy("x.variable", "x.zone", "x.v")
+    rows = materialise(taken.agg(F.count(F.lit(1)).alias("n")), "quantiles")
+    counts = {(r.variable, r.zone): r.n for r in rows.groupBy("variable", "zone").agg(F.sum("n").alias("n")).collect()}
+    placed, sizes = [], {}
+    for i, s in enumerate(searches):
+        first, last = 2 * cuts[s.variable].index(s.lo) + 1, 2 * cuts[s.variable].index(s.hi) + 1
+        placed.append(replace(s, bracket=i, below=sum(counts.get((s.variable, z), 0) for z in range(first))))
+        sizes[i] = sum(counts.get((s.variable, z), 0) for z in range(first, last + 1))
+    return _Near(rows.filter("v IS NOT NULL"), rows, sizes), placed
+
+
+def _narrowed(near: DataFrame, searches: list[_Search], cells: int) -> list[_Search]:
+    """Every interval cut down to the cell that holds its rank."""
+    intervals = sorted({(s.variable, s.lo, s.hi) for s in searches})
+    number = {key: i for i, key in enumerate(intervals)}
+    hits = [
+        F.when(
+            (F.col("variable") == variable) & F.col("v").between(lo, hi),
+            F.struct(F.lit(i).alias("i"), _cell(F.col("v"), F.lit(lo), F.lit(hi), cells).alias("cell")),
         )
-    ).filter("n > 0")
-    wanted = start.select(
-        "variable", "lo", "hi", F.explode(F.array(*[_ranks(p, F.col("n"), interpolate) for p in probabilities])).alias("r")
-    )
-    # A row per rank: its open interval of values, and how many readings lie below the interval.
-    open_ = wanted.select(
-        "variable", "lo", "hi", F.lit(0).cast("long").alias("below"), "r.p", "r.fraction", F.explode(F.array("r.low", "r.high")).alias("rank")
-    ).distinct()
-    open_ = materialise(open_, "quantiles")
-    for _ in range(_MOST_LEVELS):
-        if open_.filter("lo < hi").isEmpty():
-            break
-        open_ = materialise(_narrowed(df, values, open_, cells), "quantiles")
-    else:
-        raise RuntimeError("quantiles did not settle")
-    # Of a quantile's two ranks the lower has the smaller value, or both have the same.
-    return open_.groupBy("variable", "p", "fraction").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).select(
-        "variable", "p", (F.col("a") + (F.col("b") - F.col("a")) * F.col("fraction")).alias("value")
-    )
-
-
-def _narrowed(df: DataFrame, values: dict[str, Column], open_: DataFrame, cells: int) -> DataFrame:
-    """Every open interval cut down to the cell that holds its rank."""
-    intervals = [
-        (r["variable"], r["lo"], r["hi"]) for r in open_.select("variable", "lo", "hi").filter("lo < hi").distinct().collect()
-    ]  # at most two per column and probability
-    hits = F.array(
-        *[
-            F.when(
-                values[c].between(lo, hi),
-                F.struct(F.lit(c).alias("variable"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"), values[c].alias("v")),
-            )
-            for c, lo, hi in intervals
-        ]
-    )
-    found = df.select(F.explode(F.array_compact(hits)).alias("x")).select("x.*")
-    counted = (
-        found.withColumn("cell", _cell(F.col("v"), F.col("lo"), F.col("hi"), cells))
-        .groupBy("variable", "lo", "hi", "cell")
-        .agg(F.count("*").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
-    )
-    ahead = Window.partitionBy("variable", "lo", "hi").orderBy("cell")
-    placed = counted.withColumn("to", F.sum("n").over(ahead)).withColumn("from", F.col("to") - F.col("n"))
-    inside = open_.filter("lo < hi").join(placed, ["variable", "lo", "hi"])
-    inside = inside.filter("rank - below >= from AND rank - below < to")
-    cut = inside.select(
-        "variable", F.col("least").alias("lo"), F.col("most").alias("hi"), (F.col("below") + F.col("from")).alias("below"), "p", "fraction", "rank"
-    )
-    return open_.filter("lo >= hi").unionByName(cut)
+        for (variable, lo, hi), i in number.items()
+    ]
+    placed = near.select("v", "n", F.explode(F.array_compact(F.array(*hits))).alias("x"))
+    counted = placed.groupBy("x.i", "x.cell").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    ahead = Window.partitionBy("i").orderBy("cell")
+    summed = counted.withColumn("to", F.sum("n").over(ahead)).withColumn("from", F.col("to") - F.col("n"))
+    wanted = {(number[s.variable, s.lo, s.hi], s.rank - s.below) for s in searches}
+    holds = F.lit(False)
+    for i, rank in sorted(wanted):
+        holds |= (F.col("i") == i) & (F.col("from") <= rank) & (F.col("to") > rank)
+    cells_ = summed.filter(holds).select("i", "from", "to", "lo", "hi").collect()  # at most one per search
+    out = []
+    for s in searches:
+        i, rank = number[s.variable, s.lo, s.hi], s.rank - s.below
+        (cell,) = [c for c in cells_ if c["i"] == i and c["from"] <= rank < c["to"]]
+        out.append(replace(s, lo=cell["lo"], hi=cell["hi"], below=s.below + cell["from"]))
+    return out
+
+
+def _found(spark: SparkSession, done: list[_Search]) -> DataFrame:
+    """The quantiles between their two ranks, or at the only one."""
+    pairs: dict[tuple[str, float], list[_Search]] = {}
+    for s in sorted(done, key=lambda s: s.rank):
+        pairs.setdefault((s.variable, s.p), []).append(s)
+    rows = [
+        F.struct(
+            F.lit(variable).alias("variable"),
+            F.lit(p).alias("p"),
+            (F.lit(ends[0].lo) + (F.lit(ends[-1].lo) - F.lit(ends[0].lo)) * F.lit(ends[0].fraction)).alias("value"),
+        )
+        for (variable, p), ends in pairs.items()
+    ]
+    table = F.array(*rows) if rows else F.array().cast("array<struct<variable:string,p:double,value:double>>")
+    return spark.range(1).select(F.inline(table))
 
 
 def _ranks(p: float, total: Column, interpolate: bool) -> Column:

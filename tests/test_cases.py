@@ -12,6 +12,7 @@ from aerostat.functions import index as ix
 from aerostat.functions.numeric import mean, mean_from, merge_sums, partial_sums
 from aerostat.operators import alerting, cleaning, indexing, joining, spatial, statistics, temporal
 from aerostat.plans import batch, quantiles
+from aerostat.plans.lineage import materialise
 from aerostat.sources import files
 from aerostat.streaming import windows
 
@@ -194,9 +195,46 @@ def test_quantile_levels_are_small_whatever_the_values(spark):
     got = [r.value for r in quantiles.exact_quantiles(df, ["v"], [0.25, 0.75]).orderBy("p").collect()]
     want = df.agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.75)))).first()[0]
     assert got == pytest.approx(want, abs=1e-15)
-    open_ = spark.createDataFrame([("v", 0.0, 1.0, 0, 0.5, 0.0, 100_000)], "variable string, lo double, hi double, below long, p double, fraction double, rank long")
-    text = quantiles._narrowed(df, {"v": F.col("v")}, open_, 256)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_count" in text and not re.search(r"Window[^\n]*\bv#", text)
+    near = df.select(F.lit("v").alias("variable"), "v", F.lit(1).cast("long").alias("n"))
+    plans = []
+    collect = type(near).collect
+    type(near).collect = lambda self: plans.append(self._jdf.queryExecution().executedPlan().toString()) or collect(self)
+    try:
+        (cut,) = quantiles._narrowed(near, [quantiles._Search("v", 0.5, 0.0, 100_000, 0.0, 1.0)], 256)
+    finally:
+        type(near).collect = collect
+    assert cut.hi - cut.lo < 1 / 100 and cut.below <= 100_000
+    assert "partial_sum" in plans[0] and not re.search(r"Window[^\n]*\bv#", plans[0])
+
+
+def test_quantiles_read_their_input_twice(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    n = 60_000
+    df = spark.range(n).select((F.rand(1) * F.exp(F.randn(2) * 20)).alias("a"), F.floor(F.rand(3) * 3).cast("double").alias("b"))
+    plain = materialise(df)
+    got = {(r.variable, r.p): r.value for r in quantiles.exact_quantiles(plain.mapInArrow(counted, "a double, b double"), ["a", "b"], [0.1, 0.25, 0.75]).collect()}
+    assert seen.value == 2 * n
+    for c in "ab":
+        want = plain.agg(F.percentile(c, F.array(F.lit(0.1), F.lit(0.25), F.lit(0.75)))).first()[0]
+        assert [got[c, p] for p in (0.1, 0.25, 0.75)] == pytest.approx(want, rel=1e-14)
+
+
+def test_quantiles_survive_a_sketch_that_misses(spark):
+    df = spark.range(5_000).select(F.rand(1).alias("v"))
+    want = df.agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.75)))).first()[0]
+    kll = F.kll_sketch_get_quantile_double
+    F.kll_sketch_get_quantile_double = lambda sketch, shares: F.array_repeat(kll(sketch, F.lit(0.9)), 4)
+    try:
+        got = [r.value for r in quantiles.exact_quantiles(df, ["v"], [0.25, 0.75]).orderBy("p").collect()]
+    finally:
+        F.kll_sketch_get_quantile_double = kll
+    assert got == pytest.approx(want, abs=1e-15)
 
 
 def test_anomaly_sequence(spark):
