@@ -245,6 +245,33 @@ def fill_with_global_value(df: DataFrame, columns: Iterable[str], strategy: str
     return lineage.with_scalar(df, row, "_values").withColumns(filled).drop("_values")
 
 
+def fill_by_station(
+    df: DataFrame,
+    columns: Iterable[str],
+    strategy: str = "median",
+    width: int = slices.DAY,
+    key: str = S.STATION,
+    order: str = S.TIME,
+) -> DataFrame:
+    """Replace NULL by the station's exact ``median`` or ``mode``, then by that of all rows so filled.
+
+    NaN is no value of either. The stations' values come back by (station, slice), so a busy
+    station's rows stay spread. The rows are staged before and after the first step.
+    """
+    finders = {"median": quantiles.grouped_quantiles, "mode": quantiles.grouped_modes}
+    if strategy not in finders:
+        raise ValueError(f"strategy must be 'mean', 'median' or 'mode', not {strategy!r}")
+    columns = present(df, columns)
+    sliced = lineage.materialise(slices.cut(df, width, order), "filled")
+    found = finders[strategy](sliced, key, columns)
+    own = [F.max(F.when(F.col("variable") == c, F.col("value"))).cast(dict(df.dtypes)[c]).alias(f"_own_{c}") for c in columns]
+    # One row per station and slice, not per reading, meets the station's values.
+    per_slice = sliced.select(key, slices.SLICE).distinct().join(found.groupBy(key).agg(*own), key)
+    filled = slices.attach(sliced, per_slice, key).withColumns({c: F.coalesce(c, f"_own_{c}") for c in columns})
+    stationed = lineage.materialise(filled.select(*df.columns), "filled-by-station")
+    return fill_with_global_value(stationed, columns, strategy)
+
+
 def impute(
     df: DataFrame,
     columns: Iterable[str],
@@ -252,9 +279,12 @@ def impute(
     key: str = S.STATION,
     order: str = S.TIME,
     stage: bool = False,
+    strategy: str = "mean",
 ) -> DataFrame:
     """Forward fill, then the mean of the filled station, then the global mean of those.
 
+    ``strategy`` may be ``median`` or ``mode`` in place of ``mean``: see ``fill_by_station``.
+
     All three stages come from one summary row per slice: the last value in it, the sum
     and number of its values once filled from inside, and its row count. Rows at the head
     of a slice take the carried value, so a station's filled sum is known without filling
@@ -265,6 +295,8 @@ def impute(
     shuffled once.
     """
     columns = present(df, columns)
+    if strategy != "mean":
+        return fill_by_station(forward_fill(df, columns, width, key, order), columns, strategy, width, key, order)
     sliced = slices.cut(df, width, order)
     frame = slices.inside(key, order).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.withColumns({f"_in_{c}": F.last(c, ignorenulls=True).over(frame) for c in columns})
@@ -334,6 +366,7 @@ def clean_measurements(
     width: int = slices.DAY,
     audit: bool = False,
     stage: bool = True,
+    strategy: str = "mean",
 ) -> DataFrame:
     """Normalise, drop invalid keys, de-duplicate, flag and cap, impute.
 
@@ -357,7 +390,7 @@ def clean_measurements(
         unique = unique.withColumns({f"_absent_{c}": F.col(c).isNull() for c in columns})
     limits = {c: S.DOMAIN_LIMITS[c] for c in columns if c in S.DOMAIN_LIMITS}
     capped = domain_cap(domain_flags(unique, limits), limits)
-    return keep(impute(capped, columns, width, stage=stage), "imputed")
+    return keep(impute(capped, columns, width, stage=stage, strategy=strategy), "imputed")
 
 
 def clean_readings(
@@ -366,14 +399,17 @@ def clean_readings(
     quantile_method: str = "exact",
     audit: bool = False,
     stage: bool = True,
+    strategy: str = "mean",
 ) -> DataFrame:
     """Air-quality readings ready for integration, with domain and statistical flags."""
-    cleaned = clean_measurements(df, S.POLLUTANTS, "Air Quality", width, audit, stage)
+    cleaned = clean_measurements(df, S.POLLUTANTS, "Air Quality", width, audit, stage, strategy)
     return iqr_flags(cleaned, S.POLLUTANTS, S.IQR_MULTIPLIER, quantile_method)
 
 
-def clean_weather(df: DataFrame, width: int = slices.DAY, audit: bool = False, stage: bool = True) -> DataFrame:
-    return clean_measurements(df, S.WEATHER, "Weather", width, audit, stage)
+def clean_weather(
+    df: DataFrame, width: int = slices.DAY, audit: bool = False, stage: bool = True, strategy: str = "mean"
+) -> DataFrame:
+    return clean_measurements(df, S.WEATHER, "Weather", width, audit, stage, strategy)
 
 
 def clean_stations(df: DataFrame) -> DataFrame:

@@ -224,6 +224,66 @@ def _ranks(p: float, total: Column, interpolate: bool) -> Column:
     )
 
 
+GROUP_CELLS = 4096  # of a group's interval
+_SALTS = 16  # tasks over which the different values of a group are spread
+
+
+def value_counts(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Rows ``(key, variable, v, n)``: how often a group has each value; NULL and NaN are none.
+
+    Equal values are combined before the shuffle, and a group's values spread over all tasks.
+    """
+    tall = []
+    for c in columns:
+        v = F.col(c).cast("double") + F.lit(0.0)
+        tall.append(F.when(v.isNotNull() & ~F.isnan(v), F.struct(F.lit(c).alias("variable"), v.alias("v"))))
+    rows = df.select(key, F.explode(F.array_compact(F.array(*tall))).alias("x"))
+    return rows.groupBy(key, "x.variable", "x.v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def grouped_modes(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Rows ``(key, variable, value)``: each group's most frequent value, the smallest of equals."""
+    first = F.min(F.struct((-F.col("n")).alias("minus"), "v")).getField("v")
+    return value_counts(df, key, columns).groupBy(key, "variable").agg(first.alias("value"))
+
+
+def grouped_quantiles(df: DataFrame, key: str, columns: list[str], p: float = 0.5, cells: int = GROUP_CELLS) -> DataFrame:
+    """Rows ``(key, variable, value)``: the exact quantile of each group, linear between two ranks.
+
+    All groups are searched at once. A group's interval is cut into cells, its values are counted
+    per cell, and the cells that hold its ranks are cut again until they hold one value. Values are
+    spread by salt, so no task sees a whole group; windows order the cells of a group only. The
+    levels run while the plan is built.
+    """
+    salt = F.pmod(F.xxhash64("v"), F.lit(_SALTS)).cast("int")
+    values = materialise(value_counts(df, key, columns).withColumn("salt", salt), "group-values")
+    ends = values.groupBy(key, "variable").agg(F.sum("n").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    wanted = ends.select(key, "variable", "lo", "hi", F.lit(0).cast("long").alias("below"), _ranks(p, F.col("total"), True).alias("r"))
+    shown = wanted.select(key, "variable", "lo", "hi", "below", "r.fraction", F.explode(F.array_distinct(F.array("r.low", "r.high"))).alias("rank"))
+    searches = materialise(shown, "group-ranks")
+    interval = [key, "variable", "lo", "hi"]
+    for _ in range(_MOST_LEVELS):
+        open_ = searches.filter("lo < hi")
+        if open_.isEmpty():
+            break
+        spread = open_.select(*interval).distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        inside = values.join(spread, [key, "variable", "salt"]).filter(F.col("v").between(F.col("lo"), F.col("hi")))
+        cell = _cell(F.col("v"), F.col("lo"), F.col("hi"), cells)
+        counted = inside.groupBy(*interval, cell.alias("cell")).agg(F.sum("n").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
+        ahead = Window.partitionBy(*interval).orderBy("cell")
+        placed = counted.withColumn("to", F.sum("n").over(ahead)).withColumn("from", F.col("to") - F.col("n"))
+        held = open_.join(placed, interval).filter("rank - below >= from AND rank - below < to")
+        cut = held.select(key, "variable", F.col("least").alias("lo"), F.col("most").alias("hi"), (F.col("below") + F.col("from")).alias("below"), "fraction", "rank")
+        narrower = materialise(searches.filter("lo >= hi").unionByName(cut), "group-ranks")
+        release(searches)
+        searches = narrower
+    else:
+        raise RuntimeError("quantiles did not settle")
+    release(values)
+    low, high = F.min("lo"), F.max("lo")
+    return searches.groupBy(key, "variable").agg((low + (high - low) * F.max("fraction")).alias("value"))
+
+
 def sketch_quantiles(
     df: DataFrame, columns: list[str], probabilities: list[float], accuracy: int = 10_000
 ) -> DataFrame:

@@ -871,6 +871,26 @@ def _(spark, sf):
     return rounded(cleaning.impute(T.readings(spark, sf), POL), POL, 4)
 
 
+# Forward fill, then the station's median or mode, then that of all rows so filled.
+Q.cte("med1", f"SELECT {KEYS}, {', '.join(f'coalesce({c}, median({c}) OVER (PARTITION BY station_id)) AS {c}' for c in POL)} FROM imp1")
+Q.cte("modes", f"SELECT station_id, {', '.join(f'min_by(v_{c}, (-n_{c}, v_{c})) AS m_{c}' for c in POL)} FROM (SELECT station_id, {', '.join(f'{c} AS v_{c}, CASE WHEN {c} IS NULL THEN NULL ELSE count({c}) OVER (PARTITION BY station_id, {c}) END AS n_{c}' for c in POL)} FROM imp1) GROUP BY station_id")
+Q.cte("mod1", f"SELECT {KEYS}, {', '.join(f'coalesce({c}, m_{c}) AS {c}' for c in POL)} FROM imp1 JOIN modes USING (station_id)")
+
+
+def _global_mode(c: str) -> str:
+    return f"(SELECT {c} FROM mod1 WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+
+
+@add("impute_median", f"SELECT {KEYS}, {', '.join(f'{R(f"coalesce({c}, (SELECT median({c}) FROM med1))", 6)} AS {c}' for c in POL)} FROM med1")
+def _(spark, sf):
+    return rounded(cleaning.impute(T.readings(spark, sf), POL, strategy="median"), POL, 6)
+
+
+@add("impute_mode", f"SELECT {KEYS}, {', '.join(f'{R(f"coalesce({c}, {_global_mode(c)})", 6)} AS {c}' for c in POL)} FROM mod1")
+def _(spark, sf):
+    return rounded(cleaning.impute(T.readings(spark, sf), POL, strategy="mode"), POL, 6)
+
+
 @add(
     "clean_readings",
     f"SELECT {KEYS}, {', '.join(f'{R(c, 4)} AS {c}' for c in POL)}, {FLAGS}, {OUTLIER_COLS} FROM crq",

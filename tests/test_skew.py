@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from aerostat.operators import cleaning, temporal
-from aerostat.plans import slices
+from aerostat.plans import quantiles, slices
 
 WIDTHS = [60, 3600, slices.DAY * 365]
 
@@ -80,6 +80,32 @@ def test_imputation(skewed, width):
     close(cleaning.impute(skewed, ["pm2_5"], width), want, "pm2_5")
 
 
+@pytest.mark.parametrize("strategy", ["median", "mode"])
+def test_imputation_by_rank(skewed, strategy):
+    """Against whole-station windows, on values that repeat, with one station that has none."""
+    df = skewed.withColumn("pm2_5", F.when(F.col("station_id") != 1, F.round(F.col("pm2_5"), 0)))
+    upto = by_time().rowsBetween(Window.unboundedPreceding, 0)
+    filled = df.withColumn("pm2_5", F.last("pm2_5", True).over(upto))
+    of = {"median": F.median("pm2_5"), "mode": F.mode("pm2_5", True)}[strategy]
+    filled = filled.withColumn("pm2_5", F.coalesce("pm2_5", of.over(Window.partitionBy("station_id"))) if strategy == "median" else F.col("pm2_5"))
+    if strategy == "mode":
+        own = filled.groupBy("station_id").agg(of.alias("own"))
+        filled = filled.join(own, "station_id").withColumn("pm2_5", F.coalesce("pm2_5", "own")).drop("own")
+    overall = filled.agg(of).first()[0]
+    want = filled.withColumn("pm2_5", F.coalesce("pm2_5", F.lit(overall)))
+    close(cleaning.impute(df, ["pm2_5"], strategy=strategy), want.select(df.columns), "pm2_5")
+
+
+def test_grouped_quantiles_of_a_group_that_holds_most_rows(spark):
+    df = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(F.lit(-1)).alias("k"), (F.randn(1) * F.exp(F.randn(2) * 9)).alias("a"), F.floor(F.rand(3) * 9).cast("double").alias("b"))
+    df = df.withColumn("b", F.when((F.col("k") != 7) & (F.col("b") != 4), F.col("b")))
+    for p in (0.0, 0.3, 0.5, 1.0):
+        got = {(r.k, r.variable): r.value for r in quantiles.grouped_quantiles(df, "k", ["a", "b"], p, cells=64).collect()}
+        for r in df.groupBy("k").agg(F.percentile("a", p).alias("a"), F.percentile("b", p).alias("b")).collect():
+            for c in "ab":
+                assert got.get((r.k, c)) == (None if r[c] is None else pytest.approx(r[c], rel=1e-13))
+
+
 def test_no_window_task_sees_a_whole_station(skewed):
     """Slices of the busiest station are spread: none holds more rows than it has seconds."""
     sizes = slices.cut(skewed, 3600).groupBy("station_id", slices.SLICE).count()
