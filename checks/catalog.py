@@ -24,6 +24,7 @@ from aerostat.plans import batch, lineage
 from aerostat.session import tune
 from aerostat.sources import files
 from aerostat.streaming import alerts as stream_alerts
+from aerostat.streaming import late as late_rows
 from aerostat.streaming import sinks, sources, windows
 from checks import sql as Q
 from checks import tables as T
@@ -1066,13 +1067,15 @@ def _(spark, sf):
 # --- streaming ---------------------------------------------------------------------------
 
 
-PARTS = 4  # files of the event stream, by time, one per micro-batch
+PARTS = 4  # micro-batches of the event stream, by time
+PART_FILES = 4  # files of each
 
 
 def event_stream(spark, sf, late: bool = False) -> DataFrame:
-    """The events table as a stream of readings that arrives in several files, one per trigger.
+    """The events table as a stream of readings in time order, several files per trigger.
 
-    With ``late`` one more file repeats some of the first events after all others.
+    Every part is written and read by as many tasks as it has files. With ``late`` one more part
+    repeats some of the first events after all others.
     """
     events = T.load(spark, sf, "events")
     bounds = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
@@ -1081,11 +1084,11 @@ def event_stream(spark, sf, late: bool = False) -> DataFrame:
     for i in range(PARTS):
         part = events.filter(F.col("ts") >= bounds.a + step * i) if i else events
         part = part.filter(F.col("ts") < bounds.a + step * (i + 1)) if i < PARTS - 1 else part
-        part.coalesce(1).write.mode("append").parquet(directory)
+        part.repartition(PART_FILES).write.mode("append").parquet(directory)
     if late:
         first = events.filter(f"event_id % 97 = 0 AND ts < to_timestamp_ntz('{bounds.a + step}')")
-        first.coalesce(1).write.mode("append").parquet(directory)
-    stream = sources.parquet_stream(spark, directory, events.schema, max_files=1)
+        first.repartition(PART_FILES).write.mode("append").parquet(directory)
+    stream = sources.parquet_stream(spark, directory, events.schema, max_files=PART_FILES)
     return T.with_counter(stream).select(*T.reading_columns())
 
 
@@ -1152,25 +1155,19 @@ def _(spark, sf):
     return sinks.bounded_table(windows.window_pollutants(event_stream(spark, sf), slide=None))
 
 
-LATE = """SELECT count(DISTINCT (station_id, floor(epoch("timestamp")/3600))) FROM idx WHERE event_id%97=0
+LATE = """SELECT count(*) FROM idx WHERE event_id%97=0
   AND "timestamp" < (SELECT min("timestamp")+(max("timestamp")-min("timestamp"))/4 FROM idx)"""
 
 
-@add("late_data", window_sql(f"count(*) AS record_count, ({LATE}) AS dropped_groups", "idx", 3600, 3600, True))
+@add("late_data", window_sql(f"count(*) AS record_count, ({LATE}) AS late_readings", "idx", 3600, 3600, True))
 def _(spark, sf):
-    """A last file repeats early events: no closed window may count them, and all of them are told.
-
-    What is told are groups, rows after the partial aggregation: windows and stations here.
-    """
+    """Some early events come again at the end: no closed window may count them, and all are told."""
     indexed = sources.indexed_stream(event_stream(spark, sf, late=True))
     hours = windows.window_aqi(indexed, S.WATERMARK, "1 hour", None)
-    path = files.scratch(spark, "hours")
-    query, _ = sinks.bounded_run(hours, path, files.scratch(spark, "offsets"))
-    dropped = sum(o.numRowsDroppedByWatermark for p in query.recentProgress for o in p.stateOperators)
-    return (
-        spark.read.schema(hours.schema)
-        .parquet(path)
-        .select(S.STATION, "window_start", "window_end", "record_count", F.lit(dropped).cast("long").alias("dropped_groups"))
+    counted = sinks.bounded_table(hours).select(S.STATION, "window_start", "window_end", "record_count")
+    late = late_rows.late_run(indexed, files.scratch(spark, "late"), files.scratch(spark, "offsets"), S.WATERMARK, "1 hour")
+    return lineage.with_scalar(counted, late.agg(F.count(F.lit(1)).alias("n")), "_late").select(
+        *counted.columns, F.col("_late.n").alias("late_readings")
     )
 
 

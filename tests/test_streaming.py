@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from aerostat import schema as S
 from aerostat.operators import alerting
 from aerostat.streaming import alerts, sinks, sources, windows
+from aerostat.streaming import late as late_rows
 
 T0 = datetime(2026, 1, 1)
 ROW = "station_id string, timestamp timestamp, aqi double, pm2_5 double"
@@ -43,6 +44,24 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     assert late.total == sum(o.numRowsDroppedByWatermark for p in query.recentProgress for o in p.stateOperators) >= 1
 
 
+def test_late_readings_are_those_that_no_window_counted(spark, tmp_path):
+    batches = [[reading(i * 40 + j * 7, station=k) for j in range(6) for k in "AB"] for i in range(5)]
+    batches[4] += [reading(m) for m in (1, 1, 2, 75, 178)] + [reading(-500, station="B")]
+    stream = feed(spark, tmp_path / "in", *batches)
+    late = late_rows.late_run(stream, str(tmp_path / "late"), str(tmp_path / "cp"), "10 minutes", "30 minutes")
+    assert {r.batch_id for r in late.collect()} == {4}
+    assert sorted((r.timestamp - T0).total_seconds() / 60 for r in late.collect()) == [-500, 1, 1, 2, 75]
+    counts = windows.window_aqi(stream, "10 minutes", "30 minutes", None)
+    sinks.bounded_run(counts, str(tmp_path / "out"), str(tmp_path / "cp2"))
+    counted = spark.read.parquet(str(tmp_path / "out"))
+    closed = counted.agg(F.max("window_end")).first()[0]
+    every = spark.read.parquet(str(tmp_path / "in")).filter(F.window("timestamp", "30 minutes")["end"] <= closed).count()
+    assert counted.agg(F.sum("record_count")).first()[0] + late.count() == every
+    # Nothing is lost or doubled by a second run over the same checkpoint.
+    again = late_rows.late_run(stream, str(tmp_path / "late"), str(tmp_path / "cp"), "10 minutes", "30 minutes")
+    assert again.count() == 5
+
+
 def test_a_run_that_is_stopped_says_so(spark, tmp_path):
     stream = feed(spark, tmp_path / "in", *[[reading(i)] for i in range(40)])
     with pytest.raises(TimeoutError):
