@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
     LinearRegression,
@@ -219,18 +220,59 @@ def metrics_table(spark: SparkSession, outcome: Outcome) -> DataFrame:
     )
 
 
-def save_models(outcome: Outcome, directory: str) -> dict[str, str]:
-    """Write both models; returns the path of each."""
+SUMMARY_SCHEMA = (
+    "model_type string, features array<string>, coefficients array<double>, intercept double, num_trees int, "
+    "total_nodes int, feature_importances array<double>, rmse double, mae double, r2 double"
+)
+
+
+def _summary(name: str, outcome: Outcome) -> dict:
+    model = outcome.linear if name == "linear_regression" else outcome.forest
+    own = (
+        {"coefficients": [float(c) for c in model.coefficients], "intercept": float(model.intercept)}
+        if name == "linear_regression"
+        else {
+            "num_trees": int(model.getNumTrees),
+            "total_nodes": int(model.totalNumNodes),
+            "feature_importances": [float(i) for i in model.featureImportances.toArray()],
+        }
+    )
+    scores = {m: float(outcome.scores[name][m]) for m in ("rmse", "mae", "r2")}
+    return {"model_type": name, "features": list(outcome.features), **own, **scores}
+
+
+def save_models(spark: SparkSession, outcome: Outcome, directory: str) -> dict[str, str]:
+    """Write both models with a JSON summary each; returns the path of each.
+
+    A model's summary is written last and removed first, so a folder that has one is complete.
+    """
     paths = {}
     for name, model in (("linear_regression", outcome.linear), ("random_forest", outcome.forest)):
         paths[name] = f"{directory.rstrip('/')}/{name}"
         model.write().overwrite().save(paths[name])
+        row = spark.createDataFrame([_summary(name, outcome)], SUMMARY_SCHEMA)
+        row.coalesce(1).write.mode("overwrite").json(f"{paths[name]}/model_summary")
     return paths
 
 
-def load_model(path: str, model_type: str = "random_forest"):
+def load_summary(spark: SparkSession, path: str) -> DataFrame:
+    """The summary of a saved model, one row; raises ``FileNotFoundError`` for a half-written folder."""
+    try:
+        summary = spark.read.schema(SUMMARY_SCHEMA).json(f"{path.rstrip('/')}/model_summary")
+    except AnalysisException as missing:
+        raise FileNotFoundError(f"{path} holds no complete model: it has no summary") from missing
+    if summary.isEmpty():
+        raise FileNotFoundError(f"{path} holds no complete model: its summary is empty")
+    return summary
+
+
+def load_model(spark: SparkSession, path: str, model_type: str = "random_forest"):
+    """A saved model of the given type; a half-written folder or one of another type is refused."""
     if model_type not in MODEL_TYPES:
         raise ValueError(f"unknown model type {model_type!r}; known: {sorted(MODEL_TYPES)}")
+    found = load_summary(spark, path).first()["model_type"]
+    if found != model_type:
+        raise ValueError(f"{path} holds a {found}, not a {model_type}")
     return MODEL_TYPES[model_type].load(path)
 
 

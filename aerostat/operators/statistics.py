@@ -121,6 +121,27 @@ def correlation_matrix(df: DataFrame, places: int = 3, least_rows: int = 5) -> D
     )
 
 
+def distinct_count(df: DataFrame, column: str, approximate: bool = False, name: str = "distinct_count") -> DataFrame:
+    """How many different values a column has, one row; NULL is none. The approximate form is a sketch."""
+    if approximate:
+        return united_distinct(distinct_sketches(df, column), name=name)
+    return df.agg(F.countDistinct(column).alias(name))
+
+
+def distinct_sketches(df: DataFrame, column: str, by: Iterable[str] = (), size: int = 12) -> DataFrame:
+    """One mergeable sketch of a column's values per group, to be stored and united later.
+
+    The standard error of counts is about ``1.04 / sqrt(2 ** size)``: 1.6 % by default. Sketches are
+    filled on the map side and their size does not grow with the rows.
+    """
+    return df.groupBy(*by).agg(F.hll_sketch_agg(column, size).alias("sketch"))
+
+
+def united_distinct(sketches: DataFrame, by: Iterable[str] = (), name: str = "distinct_count") -> DataFrame:
+    """Distinct counts over any coarser grouping of stored sketches; no value counts twice."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(name))
+
+
 def enough_rows(df: DataFrame, columns: Iterable[str], least: int = 5) -> DataFrame:
     """Whether at least so many complete rows exist, reading no more than needed."""
     return (

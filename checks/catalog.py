@@ -1014,7 +1014,14 @@ def _(spark, sf):
 
 @add("distinct_count", "SELECT count(DISTINCT station_id) AS stations FROM rdg")
 def _(spark, sf):
-    return T.readings(spark, sf).agg(F.countDistinct(S.STATION).alias("stations"))
+    return statistics.distinct_count(T.readings(spark, sf), S.STATION, name="stations")
+
+
+@add("distinct_count_sketch", "SELECT count(DISTINCT station_id) AS stations FROM rdg")
+def _(spark, sf):
+    """Sketches per day, stored and united: exact here, as the stations are few."""
+    daily = statistics.distinct_sketches(T.readings(spark, sf).withColumn("day", F.to_date(S.TIME)), S.STATION, ["day"])
+    return statistics.united_distinct(lineage.materialise(daily, "sketches"), name="stations")
 
 
 # --- alerts ------------------------------------------------------------------------------
@@ -1392,8 +1399,8 @@ def _(spark, sf):
 def same_after_loading(spark, sf, name: str) -> DataFrame:
     """Rows on which a stored and loaded model differs from the fitted one, over all complete rows."""
     fitted = outcome(spark, sf)
-    paths = forecasting.save_models(fitted, files.scratch(spark, "models"))
-    loaded = forecasting.load_model(paths[name], name)
+    paths = forecasting.save_models(spark, fitted, files.scratch(spark, "models"))
+    loaded = forecasting.load_model(spark, paths[name], name)
     model = fitted.linear if name == "linear_regression" else fitted.forest
     rows, _names = forecasting.assemble(forecasting.ml_features(training_rows(spark, sf)))
     both = loaded.setPredictionCol("stored").transform(model.copy().setPredictionCol("kept").transform(rows))

@@ -237,6 +237,18 @@ def test_quantiles_survive_a_sketch_that_misses(spark):
     assert got == pytest.approx(want, abs=1e-15)
 
 
+def test_distinct_sketches_unite_without_counting_twice(spark):
+    df = spark.range(60_000).select((F.col("id") % 20_000).alias("v"), (F.col("id") % 7).alias("day"), F.when(F.col("id") % 5 > 0, F.col("id") % 90).alias("few"))
+    daily = materialise(statistics.distinct_sketches(df, "v", ["day"]))
+    assert daily.count() == 7
+    assert statistics.united_distinct(daily).first()[0] == pytest.approx(20_000, rel=0.05)
+    for row in statistics.united_distinct(daily, ["day"], "n").collect():
+        assert row.n == pytest.approx(df.filter(F.col("day") == row.day).select("v").distinct().count(), rel=0.05)
+    exact = statistics.distinct_count(df, "few").first()[0]
+    assert exact == statistics.distinct_count(df, "few", approximate=True).first()[0] == df.agg(F.countDistinct("few")).first()[0]
+    assert statistics.distinct_count(df.filter("false"), "v", approximate=True).first()[0] == 0
+
+
 def test_anomaly_sequence(spark):
     rows = [(30, 50, 15, 0.8), (180, 320, 60, 2.5), (25, 45, 12, 0.6), (350, 45, 10, 0.5)]
     df = frame(

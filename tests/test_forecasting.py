@@ -41,10 +41,20 @@ def test_train_save_and_load(spark, tmp_path):
         "prediction_error",
     ]
     assert forecasting.metrics_table(spark, out).filter("is_best").count() == 1
-    paths = forecasting.save_models(out, str(tmp_path))
-    assert forecasting.load_model(paths["random_forest"]).getNumTrees == 25
-    assert forecasting.load_model(paths["linear_regression"], "linear_regression").intercept == pytest.approx(
+    paths = forecasting.save_models(spark, out, str(tmp_path))
+    assert forecasting.load_model(spark, paths["random_forest"]).getNumTrees == 25
+    assert forecasting.load_model(spark, paths["linear_regression"], "linear_regression").intercept == pytest.approx(
         out.linear.intercept
     )
     with pytest.raises(ValueError):
-        forecasting.load_model(paths["random_forest"], "other")
+        forecasting.load_model(spark, paths["random_forest"], "other")
+    with pytest.raises(ValueError):
+        forecasting.load_model(spark, paths["linear_regression"], "random_forest")
+    line = forecasting.load_summary(spark, paths["linear_regression"]).first()
+    assert line.features == out.features and line.coefficients == list(out.linear.coefficients) and line.num_trees is None
+    assert line.rmse == out.scores["linear_regression"]["rmse"]
+    forest = forecasting.load_summary(spark, paths["random_forest"]).first()
+    assert (forest.num_trees, len(forest.feature_importances)) == (25, len(out.features)) and forest.coefficients is None
+    out.forest.write().overwrite().save(paths["random_forest"])  # as a run leaves it that is lost before the summary
+    with pytest.raises(FileNotFoundError):
+        forecasting.load_model(spark, paths["random_forest"])
