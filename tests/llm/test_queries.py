@@ -85,5 +85,13 @@ def test_stages_keep_the_columns_and_clashing_ones(spark, table, tmp_path):
         assert stage(spark, docs.filter("false"), str(tmp_path)).collect() == []
 
 
+def test_clashing_columns_keep_their_values(spark):
+    rows = [(1, "one two three\nfour five six", 777, "mine"), (2, "one two three\nseven eight nine", 778, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_lines int, removed string")
+    out = corpus_pipeline.drop_repeated_lines(spark, docs, SF)
+    assert out.schema == docs.schema
+    assert sorted(map(tuple, out.collect())) == [rows[0], (2, "seven eight nine", 778, None)]
+
+
 def test_stages_are_those_that_were_asked_for():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "jaccard_join", "decontamination", "sentencepiece"]
