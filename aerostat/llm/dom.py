@@ -13,7 +13,9 @@ import numpy as np
 
 # Fixed values of the HTML standard: elements by how a parser treats them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template svg math iframe object textarea title".split())
+RAW = frozenset("script style iframe textarea title".split())
+ASIDE = frozenset("noscript template object".split())
+FOREIGN = frozenset("svg math".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small"
     " span strike strong sub sup time tt u var wbr".split()
@@ -22,6 +24,12 @@ CLOSES_P = frozenset(
     "address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hr main menu nav ol p pre section table ul".split()
 )
+# Start tags at which a parser leaves svg and math, and the elements inside these that may hold HTML.
+BREAKOUT = (
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr"
+    " ol p pre ruby s small span strong strike sub sup table tt u ul var"
+)
+INTEGRATION = "foreignObject desc title annotation-xml mi mo mn ms mtext"
 # A start tag ends an open element of its own kind, unless the other kind lies between.
 SIBLINGS = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -37,6 +45,10 @@ _TAG = re.compile(
     r"""<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"<]*"|'[^'<]*')*+|[^>]*)(?:>|\Z))""",
     re.DOTALL,
 )
+_BREAKOUT = re.compile(rf"<(?:{BREAKOUT.replace(' ', '|')})(?=[\s/>])", re.IGNORECASE)
+_INTEGRATION = re.compile(rf"<(?:{INTEGRATION.replace(' ', '|')})(?=[\s/>])", re.IGNORECASE)
+_ENDS = {name: re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE) for name in RAW}
+_PAIRED = {name: re.compile(rf"<(/?){name}(?=[\s/>])[^>]*>", re.IGNORECASE) for name in ASIDE | FOREIGN}
 _ATTRIBUTE = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -95,13 +107,40 @@ def _groups(attributes: str) -> set[int]:
     return out
 
 
+def _pairs(html: str, name: str) -> dict[int, int]:
+    """Where the content of each closed element of a name starts, and where its end tag ends."""
+    out, starts = {}, []
+    for m in _PAIRED[name].finditer(html):
+        if not m[1]:
+            if not m[0].endswith("/>"):
+                starts.append(m.end())
+        elif starts:
+            out[starts.pop()] = m.end()
+    return out
+
+
+def _after_foreign(html: str, at: int, end: int | None) -> int:
+    """Where an svg or math element ends that starts at ``at`` and has its end tag before ``end``, if any."""
+    inner = _INTEGRATION.search(html, at, end or len(html))
+    out = _BREAKOUT.search(html, at, end or len(html))
+    if out and (end is None or not inner or out.start() < inner.start()):
+        return out.start()
+    return end or len(html)
+
+
 def read(html: str | None) -> Page:
-    """Any text gives a page; what is broken is closed where a browser would, about."""
+    """Any text gives a page; what is broken is closed where a browser would, about.
+
+    What an element of ``RAW`` holds is left out, to the end of the page if it is not closed. Of
+    ``ASIDE``, closed elements are left out and others read as ordinary ones; of ``FOREIGN``, all up to
+    their end or to a start tag that a parser leaves them at. None of these ends a block.
+    """
     html = html or ""
     page = Page(["html"], [-1], [set()])
     stack = [0]
     parts: list[str] = []
     linked = link = 0
+    pairs: dict[str, dict[int, int]] = {}
 
     def end_block() -> None:
         nonlocal linked
@@ -145,12 +184,22 @@ def read(html: str | None) -> Page:
                 close((name,), ())
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(html, at)
             if not m[3].endswith("/"):
+                end = _ENDS[name].search(html, at)
                 at = end.end() if end else len(html)
-            if name not in INLINE:
-                end_block()
             continue
+        if name in ASIDE or name in FOREIGN:
+            if m[3].endswith("/"):
+                continue
+            if name not in pairs:
+                pairs[name] = _pairs(html, name)
+            end = pairs[name].get(at)
+            if name in FOREIGN:
+                at = _after_foreign(html, at, end)
+                continue
+            if end is not None:
+                at = end
+                continue
         if name == "br":
             parts.append(" ")
             continue

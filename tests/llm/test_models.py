@@ -251,6 +251,27 @@ def test_reader_closes_decodes_and_skips():
         dom.features(dom.read(broken))
 
 
+@pytest.mark.parametrize(
+    "html, blocks",
+    [
+        ("<p>first<svg><path><p>second part", ["first", "second part"]),
+        ('<p>a <svg viewBox="0"><text>no</text></svg> b</p>c', ["a b", "c"]),
+        ("<svg><foreignObject><div>no</div></foreignObject></svg>yes", ["yes"]),
+        ("<p>a<svg><p>b</p></svg>c", ["a", "b", "c"]),
+        ("<math><mi>x<div>a", ["a"]),
+        ("<p>a<object data=x><p>b", ["a", "b"]),
+        ("<p>a<object>x<object>y</object>z</object>b", ["ab"]),
+        ("<object>a<object>x</object>b", ["ab"]),
+        ("<p>a<template><p>b", ["a", "b"]),
+        ("<p>a<noscript><p>no</noscript>b", ["ab"]),
+        ("<p>a<script>no", ["a"]),
+        ("<svg/>" * 20_000 + "a" + "<object>" * 20_000 + "<p>b", ["a", "b"]),
+    ],
+)
+def test_what_embedded_content_leaves_of_the_text(html, blocks):
+    assert [b[1] for b in dom.read(html).blocks] == blocks
+
+
 def test_decoder_is_the_best_consistent_choice():
     rng = random.Random(2)
     page = dom.read("<div>a<div>b<p>c</p></div><section>d</section></div><p>e</p>")
