@@ -149,7 +149,8 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     known = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
     counts = known.mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    top = counts.withColumn("place", F.row_number().over(order) - 1).filter(F.col("place") < ranks)
+    # Compared as it stands, the row number is a limit that Spark applies before the shuffle too.
+    top = counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= ranks).withColumn("place", F.col("place") - 1)
     rows = top.orderBy("lang", "gram").collect()  # languages x ranks rows
     langs = sorted({r["lang"] for r in rows})
     per = {lang: [r for r in rows if r["lang"] == lang] for lang in langs}
