@@ -93,5 +93,17 @@ def test_clashing_columns_keep_their_values(spark):
     assert sorted(map(tuple, out.collect())) == [rows[0], (2, "seven eight nine", 778, None)]
 
 
+def test_near_copies_without_an_id_or_with_a_shared_one(spark, table):
+    text, other = prose(1, 40), prose(2, 40)
+    near = text + " and"
+    rows = [(5, text), (None, near), (None, near), (None, other), (7, other + " or"), (7, text + " but"), (7, prose(3, 40))]
+    rows += [(8, prose(4, 40)), (8, prose(4, 40)), (None, None), (None, None), (9, ""), (9, "")]
+    stay = corpus_pipeline.drop_near_copies(spark, table(rows), SF)
+    want = [(5, text), (7, other + " or"), (7, prose(3, 40)), (8, prose(4, 40)), (None, None), (None, None), (9, ""), (9, "")]
+    assert sorted(map(str, stay.select("doc_id", "text").toLocalIterator())) == sorted(
+        map(str, table(want).select("doc_id", "text").toLocalIterator())
+    )
+
+
 def test_stages_are_those_that_were_asked_for():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "jaccard_join", "decontamination", "sentencepiece"]
