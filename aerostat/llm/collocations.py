@@ -20,6 +20,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +38,8 @@ _HELD = 3_000_000  # words that a task holds before it counts them
 _ODD, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)  # mix bits
 _STOPS = ".,;:!?\n\x0b\x0c\r"
 _END = "\n"  # stands for the end of a piece; no word holds it
-_ROWS = "lang string, phrase string, length int, since int, n long"
+# A key is a language, a line feed and a phrase; the empty phrase stands for all words of the language.
+_ROWS = "key string, since int, n long"
 
 
 class _Words(dict):
@@ -91,21 +93,25 @@ def _buckets(phrase: np.ndarray, buckets: int) -> np.ndarray:
     return (((phrase ^ (phrase >> _SHIFT)) * _ODD) >> np.uint64(32)).astype(np.int64) & (buckets - 1)
 
 
+def _chosen(words: list[str], at: np.ndarray, before: str) -> pa.Array:
+    """The words at some places, each with a text before it."""
+    which, places = np.unique(at, return_inverse=True)
+    return pa.array([before + words[w] for w in which.tolist()], pa.string()).take(pa.array(places))
+
+
 def _phrases(lang: str, held: _Held, since: np.ndarray, scan: int, shards: int) -> Iterator[pa.RecordBatch]:
     """Rows of ``_ROWS``: what this scan has to count in the held words."""
     words = list(held.words)
     number = _hashes(lang, words)
     at = np.concatenate(held.runs)
 
-    def rows(phrases: list[str], length: int, begun: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        size = len(phrases)
-        counts = np.full(size, length, np.int32), begun.astype(np.int32), n.astype(np.int64)
-        columns = [pa.array([lang] * size, pa.string()), pa.array(phrases, pa.string()), *map(pa.array, counts)]
-        return pa.record_batch(columns, ["lang", "phrase", "length", "since", "n"])
+    def rows(keys: pa.Array, begun: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([keys, pa.array(begun.astype(np.int32)), pa.array(n.astype(np.int64))], ["key", "since", "n"])
 
     if scan < shards:
-        n = np.bincount(at, minlength=len(words))[1:]
-        yield rows(words[1:], 1, np.zeros(len(n)), n)
+        n = np.bincount(at, minlength=len(words))
+        n[0] = n[1:].sum()  # of all words, in place of the ends
+        yield rows(pa.array([f"{lang}\n", *(f"{lang}\n{w}" for w in words[1:])], pa.string()), np.zeros(len(n)), n)
     # The scan from which the phrase that starts at each place is frequent; ends of pieces never are.
     of_word = since[_buckets(number, len(since))]
     of_word[0] = _NEVER
@@ -126,9 +132,9 @@ def _phrases(lang: str, held: _Held, since: np.ndarray, scan: int, shards: int)
                 _, which, code, n = np.unique(
                     code * len(words) + at[first + more], return_index=True, return_inverse=True, return_counts=True
                 )
-            ends = [at[first[which] + more].tolist() for more in range(length)]
-            chosen = [" ".join([words[w] for w in phrase_]) for phrase_ in zip(*ends)]
-            yield rows(chosen, length, begun[due][which], n)
+            first = first[which]
+            parts = [_chosen(words, at[first + more], f"{lang}\n" if not more else "") for more in range(length)]
+            yield rows(pc.binary_join_element_wise(*parts, " "), begun[due][which], n)
         if length < LONGEST:
             grown = _longer(phrase[places], number[at[places + length - 1]])
             phrase[places] = grown
@@ -172,6 +178,14 @@ def _numbered(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Re
         yield pa.record_batch([pa.array(found)], ["bucket"])
 
 
+def _told(counts: DataFrame) -> DataFrame:
+    """``lang``, ``phrase``, ``length`` and ``n`` of keys and their counts; length 0 for all words."""
+    phrase, lang = F.substring_index("key", "\n", -1), F.expr("left(key, length(key) - length(phrase) - 1)")
+    length = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    told = counts.withColumn("phrase", phrase).select(lang.alias("lang"), "phrase", length.alias("length"), "n")
+    return told.withColumn("phrase", F.when(F.col("length") > 0, F.col("phrase")))
+
+
 def _bits(frequent: DataFrame, buckets: int) -> np.ndarray:
     """Numbers of the buckets that the phrases fall into, brought to the driver as bit maps."""
     numbered = frequent.select("lang", "phrase").mapInArrow(partial(_numbered, buckets=buckets), "bucket long")
@@ -206,18 +220,15 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     while True:
         counted = _scan(dealt.filter(F.col("shard") == scan % shards), since, scan, shards)
         rows = counted if open_ is None else counted.unionByName(open_)
-        state = rows.groupBy("lang", "phrase").agg(F.max("length").alias("length"), F.max("since").alias("since"), F.sum("n").alias("n"))
-        state = materialise(state, "phrase-counts")
+        state = rows.groupBy("key").agg(F.max("since").alias("since"), F.sum("n").alias("n"))
+        # Settled phrases are kept if they are frequent, and the numbers of all words anyway.
+        done, often = F.col("since") <= scan - shards + 1, F.col("n") >= fewest
+        state = materialise(state.filter(~done | often | F.col("key").endswith("\n")), "phrase-counts")
         if before is not None:
             release(before)
         before = state
-        often = state.filter(F.col("n") >= fewest)
-        done = F.col("since") <= scan - shards + 1
-        settled.append(materialise(often.filter(done).drop("since"), "phrases"))
-        if scan == shards - 1:
-            total = state.filter("length = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-            settled.append(materialise(total.select("lang", F.lit(None).cast("string").alias("phrase"), F.lit(0).alias("length"), "n"), "phrase-words"))
-        new = _bits(often.filter(F.col("length") < LONGEST), buckets)
+        settled.append(materialise(state.filter(done).drop("since"), "phrases"))
+        new = _bits(_told(state.filter(often)).filter(F.col("length").between(1, LONGEST - 1)), buckets)
         scan += 1
         since[new] = np.minimum(since[new], scan)
         reached = since[since != _NEVER]
@@ -228,7 +239,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     found = settled[0]
     for more in settled[1:]:
         found = found.unionByName(more)
-    return found
+    return _told(found)
 
 
 def _part(words: str, k: str, tail: bool) -> Column:
