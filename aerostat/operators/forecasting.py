@@ -94,10 +94,17 @@ def split_point(df: DataFrame, train_ratio: float = 0.8, method: str = "exact")
 def chronological_split(
     df: DataFrame, train_ratio: float = 0.8, method: str = "exact"
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows up to the cut-off, and those after it."""
+    """Rows up to the cut-off, and those after it.
+
+    Where no row has a time there is no cut-off: rows are then split by a seeded hash of their
+    values, which gives the same shares in every run and partitioning.
+    """
     cutoff = split_point(df, train_ratio, method)
     at = epoch(F.col(S.TIME))
-    return df.filter(at <= cutoff), df.filter(at > cutoff)
+    hashed = F.xxhash64(F.lit(FOREST["seed"]), *[c for c, kind in df.dtypes if "map<" not in kind])
+    drawn = F.pmod(hashed, F.lit(1_000_000)) < F.lit(round(train_ratio * 1_000_000))
+    timeless = cutoff.isNull()
+    return df.filter((at <= cutoff) | (timeless & drawn)), df.filter((at > cutoff) | (timeless & ~drawn))
 
 
 @dataclass

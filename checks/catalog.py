@@ -158,7 +158,12 @@ def _(spark, sf):
     return spark.sql("SELECT station_id, timestamp, pm2_5 FROM readings_view WHERE pm2_5 > 100 AND pm10 IS NOT NULL")
 
 
-QUERIES["temp_view"], ORACLES["temp_view"] = QUERIES["sql_select"], ORACLES["sql_select"]
+@add("temp_view", "SELECT station_id, count(*) AS readings, max(pm2_5) AS highest FROM rdg WHERE pm2_5 > 100.0e0 GROUP BY station_id")
+def _(spark, sf):
+    """A view over another one, then put in place of it."""
+    files.register(T.readings(spark, sf), "station_view")
+    files.register(spark.table("station_view").filter("pm2_5 > 100"), "station_view")
+    return spark.sql("SELECT station_id, count(*) AS readings, max(pm2_5) AS highest FROM station_view GROUP BY station_id")
 
 
 @add("repartition", READING_ROWS)

@@ -58,3 +58,13 @@ def test_train_save_and_load(spark, tmp_path):
     out.forest.write().overwrite().save(paths["random_forest"])  # as a run leaves it that is lost before the summary
     with pytest.raises(FileNotFoundError):
         forecasting.load_model(spark, paths["random_forest"])
+
+
+def test_rows_without_any_time_are_split_by_a_seeded_hash(spark):
+    rows = spark.range(5000).selectExpr("id", "CAST(NULL AS timestamp) AS timestamp", "id * 0.5 AS aqi")
+    shares = [[r.id for r in part.collect()] for part in forecasting.chronological_split(rows)]
+    assert sorted(shares[0] + shares[1]) == list(range(5000)) and 0.77 < len(shares[0]) / 5000 < 0.83
+    again = forecasting.chronological_split(rows.repartition(7))[0]
+    assert sorted(r.id for r in again.collect()) == sorted(shares[0])
+    timed = rows.withColumn("timestamp", F.timestamp_seconds("id"))
+    assert [part.count() for part in forecasting.chronological_split(timed)] == [4000, 1000]
