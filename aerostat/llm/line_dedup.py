@@ -11,17 +11,24 @@ so the table that gives every word its rank has a fixed size whatever the vocabu
 right; the rarer the prefixes, the fewer candidates. A 128-bit map of each set bounds the overlap
 of a candidate pair from above, and the words themselves decide.
 
+Until then a word travels as 32 bits of hash: 20 tell its bucket, the others tell words of a bucket
+apart. Words that share a hash can only add candidates. Texts are read again for the words of
+candidate lines alone, and a staged table is freed when its last reader is done.
+
 Large groups of near copies are settled first: every line is checked against the earliest line of
 its MinHash buckets, and lines settled that way are only compared with unsettled ones afterwards.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerostat.llm.common import UPPER, fresh, whole
-from aerostat.plans.lineage import materialise
+from aerostat.plans.lineage import materialise, release
 
 THRESHOLD = 0.8
 BUCKET_BITS = 20  # of the table of word frequencies
@@ -31,7 +38,7 @@ LEADERS = 2  # MinHash buckets of a line
 SENT = 500_000  # lines whose places may travel to all executors; more are joined by a shuffle
 # Capital ASCII letters become small ones, and white space within a line becomes blanks.
 _FROM, _TO = UPPER + "\t\x0b\x0c\r", UPPER.lower() + " " * 4
-_HASH_BITS = 63 - BUCKET_BITS
+_HASH_BITS = 32 - BUCKET_BITS
 _LINES = 1 << 31  # of a text at most
 
 
@@ -56,8 +63,8 @@ def _document(key: Column, text: Column) -> Column:
 def _ranks(lines: DataFrame) -> DataFrame:
     """One row: the rank of each bucket by how often its words occur, and the first busy rank."""
     n = 1 << BUCKET_BITS
-    bucket = F.pmod(F.xxhash64("word"), F.lit(n))
-    counts = lines.select(F.explode("words").alias("word")).groupBy(bucket.alias("bucket")).count()
+    bucket = F.col("word").bitwiseAND(n - 1).cast("long")
+    counts = lines.select(F.explode("hashes").alias("word")).groupBy(bucket.alias("bucket")).count()
     every = lines.sparkSession.range(n).withColumnRenamed("id", "bucket").join(counts, "bucket", "left")
     row = F.struct(F.coalesce("count", F.lit(0)).alias("n"), F.col("bucket").cast("int").alias("b"))
     ranked = every.agg(F.array_sort(F.collect_list(row)).alias("all"))  # of a fixed size
@@ -77,15 +84,13 @@ def _signed(lines: DataFrame, ranks: DataFrame, first: DataFrame, threshold: flo
     A key is the bucket's rank followed by more bits of the word's hash. The keys of the prefix are
     cut to 31 bits, which can only add candidates, and a last bit that tells busy words.
     """
-    n = 1 << BUCKET_BITS
     # Scalar subqueries, evaluated once. Each is used in one place, so the optimizer puts it there;
     # used twice, the whole table would become a column and be copied into every row.
     with_table = lines.withColumns({"_table": ranks.select("rank").scalar(), "_busy": ranks.select("busy").scalar()})
 
-    def key(word: Column) -> Column:
-        h = F.xxhash64(word)
-        rank = F.element_at("_table", (F.pmod(h, F.lit(n)) + 1).cast("int"))
-        return F.shiftleft(rank.cast("long"), _HASH_BITS) + F.shiftrightunsigned(h, 64 - _HASH_BITS)
+    def key(h: Column) -> Column:
+        rank = F.element_at("_table", h.bitwiseAND((1 << BUCKET_BITS) - 1) + 1)
+        return F.shiftleft(rank.cast("long"), _HASH_BITS) + F.shiftrightunsigned(h, BUCKET_BITS)
 
     def bits(half: int) -> Column:
         return F.aggregate(
@@ -103,8 +108,8 @@ def _signed(lines: DataFrame, ranks: DataFrame, first: DataFrame, threshold: flo
         with_table.select(
             "set",
             F.col("at").alias("place"),
-            F.sort_array(F.transform("words", key)).alias("keys"),
-            F.size("words").alias("size"),
+            F.sort_array(F.transform("hashes", key)).alias("keys"),
+            F.size("hashes").alias("size"),
             F.col("_busy").alias("busy"),
         )
         .select("*", bits(0).alias("map0"), bits(1).alias("map1"), F.array(*lows).alias("lows"))
@@ -135,20 +140,26 @@ def _may_match(a: str, b: str, sa: Column, sb: Column, threshold: float) -> Colu
     return long_enough & (differ * (1 + threshold) <= (sa + sb) * (1 - threshold) + 1e-9)
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
-    """The places of the later lines of pairs (``late``, ``early``) that are similar."""
+def _verified(pairs: DataFrame, contents: DataFrame, threshold: float, spent: Sequence[DataFrame] = ()) -> DataFrame:
+    """The places of the later lines of pairs (``late``, ``early``) that are similar, staged.
+
+    The ``spent`` tables are those that nothing but ``pairs`` reads any more.
+    """
     pairs = materialise(pairs.distinct(), "line-pairs")
+    release(*spent)
     some = pairs.select(F.col("late").alias("at")).unionByName(pairs.select(F.col("early").alias("at"))).distinct()
     some = materialise(some, "line-wanted")
-    if some.count() <= SENT:
-        some = F.broadcast(some)
+    wanted = F.broadcast(some) if some.count() <= SENT else some
     # Rows that repeat an id and its text have the same lines in the same places: one of each.
-    words = materialise(lines.select("at", "words").join(some, "at", "left_semi").dropDuplicates(["at"]), "line-words")
+    read = contents.join(wanted, "at", "left_semi").dropDuplicates(["at"])
+    words = materialise(read.select("at", word_set(F.col("content")).alias("words")), "line-words")
     late = words.select(F.col("at").alias("late"), F.col("words").alias("w"))
     early = words.select(F.col("at").alias("early"), F.col("words").alias("v"))
     common = F.size(F.array_intersect("w", "v"))
     similar = common >= (F.size("w") + F.size("v") - common) * threshold - 1e-9
-    return pairs.join(late, "late").join(early, "early").filter(similar).select("late").distinct()
+    found = materialise(pairs.join(late, "late").join(early, "early").filter(similar).select("late").distinct(), "line-late")
+    release(pairs, some, words)
+    return found
 
 
 def _led(signed: DataFrame, threshold: float) -> DataFrame:
@@ -161,11 +172,11 @@ def _led(signed: DataFrame, threshold: float) -> DataFrame:
     return met.filter(_may_match("x", "y", F.col("x.size"), F.col("y.size"), threshold)).select(F.col("x.place").alias("late"), F.col("x.first").alias("early"))
 
 
-def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> DataFrame:
+def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
     """Candidate pairs by prefix, positional and length filters; one of a pair is unsettled.
 
     Joined rows carry a line's place in the staged table, which is shorter than its place in the
-    corpus.
+    corpus. Frees ``signed``; also returns the staged tables that the pairs are read from.
     """
     file = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
     numbered = signed.select("*", (F.shiftleft(file, 33) + F.col("_metadata.row_index")).alias("row"))
@@ -173,6 +184,7 @@ def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> DataFr
     marked = numbered.withColumn("open", F.coalesce("open", F.lit(True)))
 
     marked = materialise(marked, "line-marked")
+    release(signed)
 
     def rows(length: Column, open_sides: tuple[int, int], settled_side: int, turn: int) -> DataFrame:
         cut = marked.select("row", "size", "map0", "map1", "open", F.posexplode(F.slice("keys", 1, length.cast("int"))).alias("at", "key"))
@@ -185,7 +197,7 @@ def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> DataFr
 
     size = F.col("size")
     share = 2 * threshold / (1 + threshold)
-    pairs = None
+    passes = []
     for turn in range(PASSES):
         # The shorter line of a pair needs fewer words; of equally long ones both orders are tried.
         x = rows(size - _fewest(size, share) + 1, (0, 1), 2, turn).alias("x")
@@ -201,13 +213,13 @@ def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> DataFr
             & (ox | oy)
         )
         met = x.join(y, both).select(F.least("x.row", "y.row").alias("one"), F.greatest("x.row", "y.row").alias("two"))
-        met = materialise(met.distinct(), "line-met")
-        pairs = met if pairs is None else pairs.unionByName(met)
-    pairs = pairs.distinct()
+        passes.append(materialise(met.distinct(), "line-met"))
+    pairs = reduce(DataFrame.unionByName, passes).distinct()
     places = marked.select("row", "place")
     one, two = (places.select(F.col("row").alias(n), F.col("place").alias(f"{n}_place")) for n in ("one", "two"))
     placed = pairs.join(one, "one").join(two, "two")
-    return placed.select(F.greatest("one_place", "two_place").alias("late"), F.least("one_place", "two_place").alias("early"))
+    placed = placed.select(F.greatest("one_place", "two_place").alias("late"), F.least("one_place", "two_place").alias("early"))
+    return placed, [marked, *passes]
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -222,20 +234,26 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs = docs.select(F.col(id_col).alias("id"), whole(F.col(text_col)).alias("text"))
     docs = docs.select(_document(F.col("id"), F.col("text")).alias("document"), F.translate("text", _FROM, _TO).alias("text"))
     lines = docs.select("document", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    lines = lines.select("document", "line", word_set(F.col("content")).alias("words")).filter(F.size("words") > 0)
     placed = (F.col("document") + F.col("line").cast("decimal(10,0)")).cast("decimal(38,0)")
-    lines = lines.select("words", F.unhex(F.md5(F.array_join("words", " "))).alias("set"), placed.alias("at"))
+    # Asked of the line, as a condition on its words would split it twice.
+    contents = lines.filter(F.trim("content") != "").select(placed.alias("at"), "content")
+    sets = contents.select("at", word_set(F.col("content")).alias("words"))
+    sets = sets.select("at", F.unhex(F.md5(F.array_join("words", " "))).alias("set"), F.transform("words", lambda w: F.hash(w)).alias("hashes"))
     # Staged, as splitting texts into words costs most and several steps read them.
-    lines = materialise(lines, "lines")
+    lines = materialise(sets, "lines")
     first = lines.groupBy("set").agg(F.min("at").alias("place"), F.count(F.lit(1)).alias("n"))
     first = materialise(first, "line-sets")
-    signed = materialise(_signed(lines, materialise(_ranks(lines), "line-ranks"), first, threshold), "line-signed")
-    settled = materialise(_verified(_led(signed, threshold), lines, threshold), "line-settled")
-    late = settled.unionByName(_verified(_prefixed(signed, settled, threshold), lines, threshold)).distinct()
+    ranks = materialise(_ranks(lines), "line-ranks")
+    signed = materialise(_signed(lines, ranks, first, threshold), "line-signed")
+    places = materialise(lines.select("at", "set"), "line-places")
+    release(lines, ranks)
+    settled = _verified(_led(signed, threshold), contents, threshold)
+    candidates, spent = _prefixed(signed, settled, threshold)
+    late = settled.unionByName(_verified(candidates, contents, threshold, spent)).distinct()
     # Of a set that an earlier one repeats all lines go, of any other all but the first.
     marked = first.join(late.select(F.col("late").alias("place"), F.lit(True).alias("all")), "place", "left")
     marked = marked.withColumn("all", F.coalesce("all", F.lit(False))).filter("all OR n > 1").drop("n")
-    found = lines.select("at", "set").join(marked, "set").filter(F.col("all") | (F.col("at") > F.col("place")))
+    found = places.join(marked, "set").filter(F.col("all") | (F.col("at") > F.col("place")))
     line = F.pmod("at", F.lit(_LINES).cast("decimal(10,0)"))
     return found.select((F.col("at") - line).cast("decimal(38,0)").alias("document"), line.cast("int").alias("line"))
 
