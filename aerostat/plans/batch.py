@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from aerostat.operators import cleaning, indexing, joining, spatial, statistics, temporal
+from aerostat.operators import cleaning, forecasting, indexing, joining, scorecard, spatial, statistics, temporal
 from aerostat.plans import slices
 from aerostat.sources import files
 
@@ -44,11 +44,15 @@ def run_batch(
     alignment: str = "exact",
     quantile_method: str = "exact",
     width: int = slices.DAY,
+    models: bool = False,
 ) -> dict[str, DataFrame]:
     """Clean, integrate, index, classify, and write the fact table and all reports.
 
     Cleaned inputs and the fact table are written before they are used more than once, so
-    an executor lost later never replays the raw scan.
+    an executor lost later never replays the raw scan. ``scorecard`` gathers the run's
+    numbers; those of the fact table are observed while it is written. With ``models`` both
+    forecasting models are trained on it, saved with their summaries under ``models``, and their
+    predictions written; that needs complete rows before and after the cut-off.
     """
     paths = Paths(out)
 
@@ -62,8 +66,13 @@ def run_batch(
     stations = store(cleaning.clean_stations(raw_stations), "clean_stations")
     helpers = [c for c in {*readings.columns, *weather.columns} if c.startswith("_")]
     fact = integrated_fact(readings.drop(*helpers), weather.drop(*helpers), stations, standard, alignment)
+    watch = Observation("fact")
     fact = store(
-        temporal.classify_anomalies(fact, width=width), "integrated", partition_by=["year", "month"], cluster=True
+        temporal.classify_anomalies(fact, width=width),
+        "integrated",
+        partition_by=["year", "month"],
+        cluster=True,
+        observe=(watch, scorecard.fact_metrics(standard)),
     )
     tables = {
         "hourly_profile": temporal.hourly_profile(fact),
@@ -73,6 +82,8 @@ def run_batch(
         "station_summary": spatial.station_summary(fact),
         "city_summary": spatial.city_summary(fact),
         "state_summary": spatial.state_summary(fact),
+        "geo_rollup": spatial.geo_rollup(fact),
+        "station_rank": spatial.station_rank(fact),
         "hotspots": spatial.hotspots(fact),
     }
     reports = {
@@ -87,6 +98,27 @@ def run_batch(
         "dominance_distribution": statistics.dominance_distribution(fact),
         "correlations": statistics.correlation_matrix(fact),
     }
+    if models:
+        outcome = forecasting.train_and_evaluate(fact)
+        forecasting.save_models(spark, outcome, f"{paths.root.rstrip('/')}/models")
+        tables["predictions"] = outcome.predictions
+        reports["models"] = forecasting.metrics_table(spark, outcome)
     for name, df in reports.items():
         files.write_report(df, paths.report(name))
-    return {"integrated": fact, **{n: store(df, n) for n, df in tables.items()}, **reports}
+    reports = {n: files.read_json(spark, paths.report(n), df.schema) for n, df in reports.items()}
+    tables = {n: store(df, n) for n, df in tables.items()}
+    parts = [
+        scorecard.observed_section(spark, watch.get, standard),
+        *[scorecard.section(reports[n], n, ["metric"]) for n in reports if n.startswith("quality_")],
+        scorecard.section(reports["join"], "join", []),
+        scorecard.section(reports["correlations"], "correlations", ["var_a", "var_b"]),
+        scorecard.section(tables["seasonal_analytics"], "seasonal_summary", ["season"]),
+        scorecard.section(tables["city_summary"], "city_summary", ["city"]),
+        scorecard.section(tables["state_summary"], "state_summary", ["state"]),
+    ]
+    if models:
+        parts.append(scorecard.model_section(spark, outcome))
+    card = scorecard.scorecard(parts)
+    files.write_report(card, paths.report("scorecard"))
+    card = files.read_json(spark, paths.report("scorecard"), card.schema)
+    return {"integrated": fact, **tables, **reports, "scorecard": card}

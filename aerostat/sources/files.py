@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,12 +51,16 @@ def write_parquet(
     partition_by: list[str] | None = None,
     mode: str = "overwrite",
     cluster: bool = False,
+    observe: tuple[Observation, list[Column]] | None = None,
 ) -> str:
     """Parquet sink; partition columns the frame lacks are ignored.
 
     ``cluster`` first gathers the rows of a partition value, so that each value gets a few
     large files instead of one per task. The gathering key has a hash of the whole row in
     it: even a value with most of the rows spreads over many tasks.
+
+    ``observe`` collects metrics of the written rows. They are taken in the writing stage itself,
+    after the gathering: a task of that stage counts once, also where a lost one is run again.
     """
     columns = [c for c in partition_by or [] if c in df.columns]
     if cluster and columns:
@@ -64,6 +68,8 @@ def write_parquet(
         others = [c for c in df.columns if c not in columns]
         spread = F.pmod(F.xxhash64(*others), F.lit(max(1, fan_out // 4)))
         df = df.withColumn("_spread", spread).repartition(*columns, "_spread").drop("_spread")
+    if observe:
+        df = df.observe(observe[0], *observe[1])
     writer = df.write.mode(mode)
     if columns:
         writer = writer.partitionBy(*columns)

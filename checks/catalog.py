@@ -1446,3 +1446,50 @@ def cleaned_fact(spark, sf) -> DataFrame:
 @add("cleaned_state_summary", STATE_SUMMARY.replace("FROM fct", "FROM crfct"))
 def _(spark, sf):
     return spatial.state_summary(cleaned_fact(spark, sf))
+
+
+PLACES_SQL = f"SELECT city, min(state) AS state, count(DISTINCT station_id) AS station_count, {PLACE_STATS} FROM crfct GROUP BY city"
+
+
+def melted(section: str, name: str, table: str, metrics: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, coalesce(CAST({name} AS VARCHAR), '') AS name, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM ({table}) q"
+        for m in metrics
+    )
+
+
+PLACE_NUMBERS = ["mean_aqi", "min_aqi", "max_aqi", "mean_pm2_5", "mean_pm10", "total_readings"]
+SHARE = "(CAST(count(*) AS DOUBLE)/CAST(sum(count(*)) OVER () AS DOUBLE)*100.0e0)"
+SCORECARD = [
+    "SELECT 'records' AS section, 'integrated' AS name, 'count' AS metric, CAST(count(*) AS DOUBLE) AS value FROM crfct",
+    melted(
+        "aqi_statistics",
+        "'aqi'",
+        f"""SELECT {R('min(aqi)', 1)} AS min_aqi, {R('max(aqi)', 1)} AS max_aqi, {R(MEAN('aqi'), 1)} AS mean_aqi,
+        count(*) FILTER (WHERE is_aqi_out_of_range) AS out_of_range_count FROM cridx""",
+        ["min_aqi", "max_aqi", "mean_aqi", "out_of_range_count"],
+    ),
+    melted("category_distribution", "aqi_category", "SELECT aqi_category, count(*) AS count FROM cridx GROUP BY 1", ["count"]),
+    melted(
+        "dominance_distribution",
+        "dominant_pollutant",
+        f"SELECT dominant_pollutant, count(*) AS count, {R(SHARE, 2)} AS percentage FROM cridx GROUP BY 1",
+        ["count", "percentage"],
+    ),
+    f"SELECT 'quality_air_quality', metric, 'value', value FROM ({report_sql('Air Quality', 'cr', 'raw', POL, 'crq')}) q",
+    f"SELECT 'quality_weather', metric, 'value', value FROM ({report_sql('Weather', 'cw', 'wth', WTH, None)}) q",
+    melted("state_summary", "state", STATE_SUMMARY.replace("FROM fct", "FROM crfct"), ["city_count", "station_count", *PLACE_NUMBERS]),
+    melted("city_summary", "city", PLACES_SQL, ["station_count", *PLACE_NUMBERS]),
+]
+
+
+@add("batch_scorecard", " UNION ALL ".join(SCORECARD))
+def _(spark, sf):
+    """The sections of the scorecard that have an oracle: the others have queries of their own."""
+    sources_ = {
+        "air_quality": T.raw_readings(spark, sf),
+        "weather": T.weather(spark, sf).withColumn(S.STATION, F.col(S.STATION).cast("string")),
+        "stations": T.stations(spark, sf).withColumn(S.STATION, F.col(S.STATION).cast("string")),
+    }
+    card = batch.run_batch(spark, sources_, files.scratch(spark, "batch"))["scorecard"]
+    return card.filter(~F.col("section").isin("quality_stations", "join", "correlations", "seasonal_summary"))

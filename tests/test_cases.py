@@ -408,3 +408,11 @@ def test_batch_flow(spark, tmp_path):
     assert out["station_summary"].count() == 2
     assert out["join"].first().known_stations == 2
     assert spark.read.json(str(tmp_path / "out" / "reports" / "aqi_statistics")).count() == 1
+    card = {(r.section, r.name, r.metric): r.value for r in out["scorecard"].collect()}
+    assert card["records", "integrated", "count"] == 3
+    assert sum(v for (s, _, _), v in card.items() if s == "category_distribution") == 3
+    shares = [v for (s, _, m), v in card.items() if (s, m) == ("dominance_distribution", "percentage")]
+    assert sum(shares) == pytest.approx(100, abs=0.05)
+    assert card["join", "all", "known_stations"] == 2
+    assert card["state_summary", "Delhi", "station_count"] == 1
+    assert {s for s, _, _ in card} >= {"quality_air_quality", "quality_weather", "quality_stations", "correlations"}

@@ -5,7 +5,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from aerostat.operators import forecasting
+from aerostat import schema as S
+from aerostat.operators import forecasting, statistics
+from aerostat.plans import batch
 
 T0 = datetime(2026, 1, 1)
 
@@ -68,3 +70,30 @@ def test_rows_without_any_time_are_split_by_a_seeded_hash(spark):
     assert sorted(r.id for r in again.collect()) == sorted(shares[0])
     timed = rows.withColumn("timestamp", F.timestamp_seconds("id"))
     assert [part.count() for part in forecasting.chronological_split(timed)] == [4000, 1000]
+
+
+def test_batch_run_with_models(spark, tmp_path):
+    n = F.col("id")
+    hours = spark.range(240).select(
+        F.concat(F.lit("S"), (n % 2).cast("string")).alias("station_id"),
+        F.date_format(F.timestamp_seconds(F.lit(1_700_000_400) + F.floor(n / 2) * 3600), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        n,
+    )
+    keys = ["station_id", "timestamp"]
+    readings = hours.select(*keys, *[(F.lit(5.0 + i) + (n * (i + 3)) % 40).alias(p) for i, p in enumerate(S.POLLUTANTS)])
+    weather = hours.select(*keys, *[(F.lit(10.0) + (n * (i + 5)) % 17).alias(w) for i, w in enumerate(S.WEATHER)])
+    stations = spark.createDataFrame(
+        [(f"S{i}", f"s{i}", "Delhi", "Delhi", 28.6, 77.2 + i, 200.0, "Traffic") for i in range(2)], S.STATIONS_SCHEMA
+    )
+    root = str(tmp_path / "run")
+    out = batch.run_batch(spark, {"air_quality": readings, "weather": weather, "stations": stations}, root, models=True)
+    card = {(r.section, r.name, r.metric): r.value for r in out["scorecard"].collect()}
+    told = {m: int(card["models", "linear_regression", m]) for m in ("train_records", "test_records")}
+    assert sum(told.values()) == card["records", "integrated", "count"] == 240
+    assert out["predictions"].count() == told["test_records"]
+    assert sum(v for (s, _, m), v in card.items() if (s, m) == ("models", "is_best")) == 1
+    assert forecasting.load_summary(spark, f"{root}/models/random_forest").count() == 1
+    # Scores of the card are those of the written predictions, up to their rounding.
+    written = spark.read.parquet(f"{root}/predictions.parquet")
+    again = statistics.regression_metrics(written, "actual_aqi", "predicted_aqi_lr").first()
+    assert card["models", "linear_regression", "mae"] == pytest.approx(again.mae, abs=0.06)
