@@ -225,6 +225,7 @@ def _ranks(p: float, total: Column, interpolate: bool) -> Column:
 
 
 GROUP_CELLS = 4096  # of a group's interval
+FEW = 4096  # rows of a group up to which one task sorts them
 _SALTS = 16  # tasks over which the different values of a group are spread
 
 
@@ -247,13 +248,42 @@ def grouped_modes(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return value_counts(df, key, columns).groupBy(key, "variable").agg(first.alias("value"))
 
 
-def grouped_quantiles(df: DataFrame, key: str, columns: list[str], p: float = 0.5, cells: int = GROUP_CELLS) -> DataFrame:
+def grouped_quantiles(
+    df: DataFrame, key: str, columns: list[str], p: float = 0.5, cells: int = GROUP_CELLS, few: int = FEW
+) -> DataFrame:
     """Rows ``(key, variable, value)``: the exact quantile of each group, linear between two ranks.
 
-    All groups are searched at once. A group's interval is cut into cells, its values are counted
-    per cell, and the cells that hold its ranks are cut again until they hold one value. Values are
-    spread by salt, so no task sees a whole group; windows order the cells of a group only. The
-    levels run while the plan is built.
+    Groups of at most ``few`` rows are sorted, each as one array. The others, of which there are at
+    most a ``few``-th of the rows, are searched. Rows without a key belong to no group.
+    """
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    busy = materialise(sizes.filter(F.col(key).isNotNull() & (F.col("rows") > few)).select(key), "group-busy")
+    keyed = df.filter(F.col(key).isNotNull())
+    if busy.isEmpty():
+        return _sorted_quantiles(keyed, key, columns, p)
+    found = _searched_quantiles(keyed.join(busy, key, "left_semi"), key, columns, p, cells)
+    return _sorted_quantiles(keyed.join(busy, key, "left_anti"), key, columns, p).unionByName(found)
+
+
+def _sorted_quantiles(df: DataFrame, key: str, columns: list[str], p: float) -> DataFrame:
+    """Quantiles of groups whose values fit one array each."""
+    values = [F.col(c).cast("double") + F.lit(0.0) for c in columns]
+    arrays = [F.sort_array(F.collect_list(F.when(~F.isnan(v), v))).alias(f"_v{i}") for i, v in enumerate(values)]
+    tall = [F.struct(F.lit(c).alias("variable"), F.col(f"_v{i}").alias("v")) for i, c in enumerate(columns)]
+    rows = df.groupBy(key).agg(*arrays).select(key, F.inline(F.array(*tall))).filter(F.size("v") > 0)
+    ranked = rows.select(key, "variable", "v", _ranks(p, F.size("v"), True).alias("r"))
+    low, high = (F.get("v", F.col(f"r.{end}").cast("int")) for end in ("low", "high"))
+    return ranked.select(key, "variable", (low + (high - low) * F.col("r.fraction")).alias("value"))
+
+
+def _searched_quantiles(df: DataFrame, key: str, columns: list[str], p: float, cells: int) -> DataFrame:
+    """Quantiles of groups of any size, all searched at once.
+
+    A group's interval is cut into cells, its values are counted per cell, and the cells that hold
+    its ranks are cut again until they hold one value. Values are spread by salt, so no task sees a
+    whole group; windows order the cells of a group only. The levels run while the plan is built.
+    Intervals are joined by a shuffle: staged they are far smaller than in memory, and the salts
+    multiply them, so the optimizer would take too many of them for a table to broadcast.
     """
     salt = F.pmod(F.xxhash64("v"), F.lit(_SALTS)).cast("int")
     values = materialise(value_counts(df, key, columns).withColumn("salt", salt), "group-values")
@@ -267,12 +297,12 @@ def grouped_quantiles(df: DataFrame, key: str, columns: list[str], p: float = 0.
         if open_.isEmpty():
             break
         spread = open_.select(*interval).distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-        inside = values.join(spread, [key, "variable", "salt"]).filter(F.col("v").between(F.col("lo"), F.col("hi")))
+        inside = values.join(spread.hint("merge"), [key, "variable", "salt"]).filter(F.col("v").between(F.col("lo"), F.col("hi")))
         cell = _cell(F.col("v"), F.col("lo"), F.col("hi"), cells)
         counted = inside.groupBy(*interval, cell.alias("cell")).agg(F.sum("n").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
         ahead = Window.partitionBy(*interval).orderBy("cell")
         placed = counted.withColumn("to", F.sum("n").over(ahead)).withColumn("from", F.col("to") - F.col("n"))
-        held = open_.join(placed, interval).filter("rank - below >= from AND rank - below < to")
+        held = open_.hint("merge").join(placed, interval).filter("rank - below >= from AND rank - below < to")
         cut = held.select(key, "variable", F.col("least").alias("lo"), F.col("most").alias("hi"), (F.col("below") + F.col("from")).alias("below"), "fraction", "rank")
         narrower = materialise(searches.filter("lo >= hi").unionByName(cut), "group-ranks")
         release(searches)

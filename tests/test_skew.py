@@ -141,3 +141,34 @@ def test_missing_numbers_leave_no_trace_in_rolling_means(spark):
 def test_rolling_average_is_linear_in_density(skewed):
     out = temporal.rolling_average(skewed, hours=1)
     assert out.count() == skewed.count()
+
+
+@pytest.mark.parametrize("few", [0, 20, 1000])
+def test_grouped_quantiles_of_small_and_searched_groups_agree(spark, few):
+    """Groups of 1 to 60 rows, with NULL, NaN and repeats, whichever way they are found."""
+    n = F.col("id")
+    odd = F.when(n % 11 == 0, F.lit(float("nan"))).when(n % 7 != 0, F.floor(F.rand(5) * 40) / 8 - 2)
+    df = spark.range(1800).select(F.when(n < 1700, F.floor(F.sqrt(n.cast("double")) * 1.4)).alias("k"), odd.alias("a"), F.rand(6).alias("b"))
+    got = {(r.k, r.variable): r.value for r in quantiles.grouped_quantiles(df, "k", ["a", "b"], 0.5, few=few).collect()}
+    clean = df.filter("k IS NOT NULL").withColumn("a", F.when(~F.isnan("a"), F.col("a")))
+    want = clean.groupBy("k").agg(F.median("a").alias("a"), F.median("b").alias("b")).collect()
+    assert got == {(r.k, c): pytest.approx(r[c], rel=1e-13) for r in want for c in "ab" if r[c] is not None}
+
+
+def test_grouped_quantiles_broadcast_no_table_of_intervals(spark, monkeypatch):
+    """Staged intervals are small files, but one row per group, rank and salt once they are joined."""
+    plans = []
+    original = quantiles.materialise
+
+    def watched(df, name="stage"):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return original(df, name)
+
+    monkeypatch.setattr(quantiles, "materialise", watched)
+    df = spark.range(6000).select((F.col("id") % 300).alias("k"), F.rand(7).alias("a"))
+    quantiles.grouped_quantiles(df, "k", ["a"], few=0).collect()
+    ranks = [text for name, text in plans if name == "group-ranks"]
+    assert len(ranks) > 1 and not any("BroadcastHashJoin" in text for text in ranks)
+    plans.clear()
+    quantiles.grouped_quantiles(df, "k", ["a"]).collect()
+    assert [name for name, _ in plans] == ["group-busy"]  # small groups need no search at all
