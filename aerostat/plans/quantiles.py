@@ -64,7 +64,9 @@ def exact_quantiles(
     input is read while the plan is built; the driver keeps a few numbers per column and
     probability, the shared folder the readings near the wanted ranks until they are found.
     """
-    values = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double") + F.lit(0.0)) for c in columns}
+    numbers = {c: F.col(c).cast("double") for c in columns}
+    df = df.select(*[F.when(~F.isnan(v), v + F.lit(0.0)).alias(c) for c, v in numbers.items()])
+    values = {c: F.col(c) for c in numbers}
     open_, ends = _bracketed(df, values, probabilities, interpolate, margin)
     done: list[_Search] = []
     while open_:
@@ -136,6 +138,15 @@ class _Near:
     sizes: dict[int, int]
 
 
+def _present(df: DataFrame, items: list[Column], *kept: str) -> DataFrame:
+    """One row ``x`` for each item that is not NULL, with the ``kept`` columns.
+
+    The items are an array column first: inside the generator they, or a filter of the array, would be
+    interpreted node by node for every row.
+    """
+    return df.select(*kept, F.array(*items).alias("_items")).select(*kept, F.explode("_items").alias("x")).filter("x IS NOT NULL")
+
+
 def _near(df: DataFrame, values: dict[str, Column], searches: list[_Search]) -> tuple[_Near, list[_Search]]:
     """One read of the input: what lies inside the brackets is staged, what lies below is counted."""
     # The brackets of a column cut its values into zones; every reading is in one of them.
@@ -150,7 +161,7 @@ def _near(df: DataFrame, values: dict[str, Column], searches: list[_Search]) ->
             if s.variable == c:
                 wanted |= values[c].between(s.lo, s.hi)
         hits.append(F.when(values[c] <= at[-1], F.struct(F.lit(c).alias("variable"), zone.alias("zone"), F.when(wanted, values[c]).alias("v"))))
-    taken = df.select(F.explode(F.array_compact(F.array(*hits))).alias("x")).groupBy("x.variable", "x.zone", "x.v")
+    taken = _present(df, hits).groupBy("x.variable", "x.zone", "x.v")
     rows = materialise(taken.agg(F.count(F.lit(1)).alias("n")), "quantiles")
     counts = {(r.variable, r.zone): r.n for r in rows.groupBy("variable", "zone").agg(F.sum("n").alias("n")).collect()}
     placed, sizes = [], {}
@@ -172,7 +183,7 @@ def _narrowed(near: DataFrame, searches: list[_Search], cells: int) -> list[_Sea
         )
         for (variable, lo, hi), i in number.items()
     ]
-    placed = near.select("v", "n", F.explode(F.array_compact(F.array(*hits))).alias("x"))
+    placed = _present(near, hits, "v", "n")
     counted = placed.groupBy("x.i", "x.cell").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     ahead = Window.partitionBy("i").orderBy("cell")
     summed = counted.withColumn("to", F.sum("n").over(ahead)).withColumn("from", F.col("to") - F.col("n"))
@@ -238,8 +249,7 @@ def value_counts(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     for c in columns:
         v = F.col(c).cast("double") + F.lit(0.0)
         tall.append(F.when(v.isNotNull() & ~F.isnan(v), F.struct(F.lit(c).alias("variable"), v.alias("v"))))
-    rows = df.select(key, F.explode(F.array_compact(F.array(*tall))).alias("x"))
-    return rows.groupBy(key, "x.variable", "x.v").agg(F.count(F.lit(1)).alias("n"))
+    return _present(df, tall, key).groupBy(key, "x.variable", "x.v").agg(F.count(F.lit(1)).alias("n"))
 
 
 def grouped_modes(df: DataFrame, key: str, columns: list[str]) -> DataFrame:

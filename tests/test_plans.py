@@ -106,3 +106,17 @@ def test_sums_do_not_depend_on_order(spark):
     df = spark.range(5000).select(F.round(F.rand(9) * 500, 1).alias("v"))
     results = {df.repartition(n).agg(mean("v").alias("m")).first().m for n in (1, 3, 8, 40)}
     assert len(results) == 1
+
+
+def test_quantiles_interpret_no_expression_per_row(spark, monkeypatch):
+    """Generators take a plain column: what they are given to evaluate is not compiled."""
+    from aerostat.plans import quantiles
+
+    texts = []
+    original = quantiles.materialise
+    monkeypatch.setattr(quantiles, "materialise", lambda df, name="stage": texts.append(plan(df)) or original(df, name))
+    df = spark.range(3000).select((F.col("id") % 7).alias("k"), F.rand(3).alias("a"), F.rand(4).alias("b"))
+    quantiles.exact_quantiles(df, ["a", "b"], [0.25, 0.75]).collect()
+    texts.append(plan(quantiles.grouped_modes(df, "k", ["a", "b"])))
+    found = [line for text in texts for line in text.splitlines() if "Generate" in line]
+    assert found and all(re.search(r"Generate explode\(_items#\d+\)", line) for line in found)
