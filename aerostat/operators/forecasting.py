@@ -109,7 +109,7 @@ def chronological_split(
 
 @dataclass
 class Outcome:
-    """Fitted models, their scores, and lazily scored test rows."""
+    """Fitted models, their scores, lazily scored test rows, and the stored rows of both shares."""
 
     linear: LinearRegressionModel
     forest: RandomForestRegressionModel
@@ -120,6 +120,7 @@ class Outcome:
     test_records: int
     train_ratio: float
     predictions: DataFrame
+    complete: DataFrame
 
 
 def train_linear(train: DataFrame, target: str = "aqi", prediction: str = "prediction") -> LinearRegressionModel:
@@ -136,10 +137,10 @@ def better_model(scores: dict[str, dict[str, float]]) -> str:
     return "random_forest" if scores["random_forest"]["r2"] >= scores["linear_regression"]["r2"] else "linear_regression"
 
 
-def split_features(
-    df: DataFrame, target: str = "aqi", train_ratio: float = 0.8, with_aliases: bool = True, horizon: int = 0
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Complete rows with their features, the earlier and the later share, each written once.
+def stored_features(
+    df: DataFrame, target: str = "aqi", with_aliases: bool = True, horizon: int = 0
+) -> tuple[DataFrame, list[str]]:
+    """Complete rows with their features, written once, and the names of the features.
 
     With a ``horizon`` the column ``target`` holds the value so many readings later.
     """
@@ -148,10 +149,27 @@ def split_features(
         rows = ahead(rows, target, horizon).drop(target).withColumnRenamed(f"{target}_ahead", target)
     rows, names = assemble(rows, target, with_aliases)
     keep = rows.select(S.STATION, S.TIME, target, *[n for n in names if n != target])
-    stored = lineage.materialise(keep, "features")
+    return lineage.materialise(keep, "features"), names
+
+
+def stored_shares(
+    stored: DataFrame, target: str = "aqi", train_ratio: float = 0.8, with_aliases: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """The earlier and the later share of stored features, each written once."""
     shares = chronological_split(stored, train_ratio)
     train, test = (lineage.materialise(part, name) for part, name in zip(shares, ("train", "test")))
-    return assemble(train, target, with_aliases)[0], assemble(test, target, with_aliases)[0], names
+    return assemble(train, target, with_aliases)[0], assemble(test, target, with_aliases)[0]
+
+
+def split_features(
+    df: DataFrame, target: str = "aqi", train_ratio: float = 0.8, with_aliases: bool = True, horizon: int = 0
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Complete rows with their features, the earlier and the later share, each written once.
+
+    With a ``horizon`` the column ``target`` holds the value so many readings later.
+    """
+    stored, names = stored_features(df, target, with_aliases, horizon)
+    return *stored_shares(stored, target, train_ratio, with_aliases), names
 
 
 def train_and_evaluate(
@@ -164,7 +182,8 @@ def train_and_evaluate(
     Fitting passes over its input many times, so both shares are written once, and so are the
     scored rows. Both models score in one projection: their predictions need no join.
     """
-    train, test, names = split_features(df, target, train_ratio, with_aliases, horizon)
+    stored, names = stored_features(df, target, with_aliases, horizon)
+    train, test = stored_shares(stored, target, train_ratio, with_aliases)
     linear = train_linear(train, target, "predicted_lr")
     forest = train_forest(train, target, "predicted_rf")
     scored = forest.transform(linear.transform(test))
@@ -184,6 +203,7 @@ def train_and_evaluate(
         scored.count(),
         train_ratio,
         predictions_table(scored, best, target),
+        stored,
     )
 
 

@@ -60,4 +60,6 @@ def release(*staged: DataFrame) -> None:
     for df in staged:
         path = _paths.pop(df, None)
         if path is not None:
-            df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
+            # A range, as an empty list of rows would start Python workers.
+            empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+            df.sparkSession.range(0, 0, 1, 1).select(*empty).write.mode("overwrite").parquet(path)

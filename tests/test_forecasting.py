@@ -97,3 +97,15 @@ def test_batch_run_with_models(spark, tmp_path):
     written = spark.read.parquet(f"{root}/predictions.parquet")
     again = statistics.regression_metrics(written, "actual_aqi", "predicted_aqi_lr").first()
     assert card["models", "linear_regression", "mae"] == pytest.approx(again.mae, abs=0.06)
+
+
+def test_stored_models_are_compared_on_stored_rows(spark, monkeypatch):
+    """The features of all complete rows are made once, and all of them are compared."""
+    from checks.catalog import QUERIES
+
+    calls = []
+    original = forecasting.ml_features
+    monkeypatch.setattr(forecasting, "ml_features", lambda *args: calls.append(1) or original(*args))
+    row = QUERIES["model_sink"](spark, "/root/testdata/sf0.001").first()
+    assert len(calls) == 1 and row.different == 0
+    assert row.records == QUERIES["ml_assemble"](spark, "/root/testdata/sf0.001").count() > 0
