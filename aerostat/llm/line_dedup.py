@@ -16,13 +16,15 @@ apart. Words that share a hash can only add candidates. Texts are read again for
 candidate lines alone, and a staged table is freed when its last reader is done.
 
 Large groups of near copies are settled first: every line is checked against the earliest line of
-its MinHash buckets, and lines settled that way are only compared with unsettled ones afterwards.
+its MinHash buckets. A line settled that way needs no other, so the join only looks for the earlier
+lines of unsettled ones; pairs whose later line is settled are not made.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,17 +36,24 @@ THRESHOLD = 0.8
 BUCKET_BITS = 20  # of the table of word frequencies
 BUSY = 1000  # lines with a word from which on settled lines are kept apart
 PASSES = 4  # of the join, by key: only the rows of one pass are on disk at a time
-LEADERS = 2  # MinHash buckets of a line
+LEADERS = 2  # smallest and largest hashes of a line of which any two make a MinHash bucket
 SENT = 500_000  # lines whose places may travel to all executors; more are joined by a shuffle
-# Capital ASCII letters become small ones, and white space within a line becomes blanks.
-_FROM, _TO = UPPER + "\t\x0b\x0c\r", UPPER.lower() + " " * 4
+_WHITE = "\t\x0b\x0c\r"  # within a line, besides blanks
 _HASH_BITS = 32 - BUCKET_BITS
 _LINES = 1 << 31  # of a text at most
 
 
+def _words(line: Column) -> Column:
+    """The words of a line. Capital ASCII letters become small ones, and white space becomes blanks."""
+    # Translating costs many times what lower() does, and of ASCII gives the same.
+    plain = reduce(Column.__and__, [~F.contains(line, F.lit(c)) for c in _WHITE], F.octet_length(line) == F.length(line))
+    small = F.when(plain, F.lower(line)).otherwise(F.translate(line, UPPER + _WHITE, UPPER.lower() + " " * len(_WHITE)))
+    return F.array_remove(F.split(small, " "), "")
+
+
 def word_set(line: Column) -> Column:
-    """The different words of a line of translated text, sorted."""
-    return F.sort_array(F.array_distinct(F.array_remove(F.split(line, " "), "")))
+    """The different words of a line."""
+    return F.array_distinct(_words(line))
 
 
 def _document(key: Column, text: Column) -> Column:
@@ -79,14 +88,15 @@ def _fewest(size: Column, threshold: float) -> Column:
 
 
 def _signed(lines: DataFrame, ranks: DataFrame, first: DataFrame, threshold: float) -> DataFrame:
-    """One line of each set, with the keys of its prefix, rarest first, size, map and MinHash values.
+    """One line of each set, with the keys of its prefix, rarest first, size, map and MinHash buckets.
 
     A key is the bucket's rank followed by more bits of the word's hash. The keys of the prefix are
     cut to 31 bits, which can only add candidates, and a last bit that tells busy words.
     """
     # Scalar subqueries, evaluated once. Each is used in one place, so the optimizer puts it there;
     # used twice, the whole table would become a column and be copied into every row.
-    with_table = lines.withColumns({"_table": ranks.select("rank").scalar(), "_busy": ranks.select("busy").scalar()})
+    chosen = lines.join(first.select("set", F.col("place").alias("at")), ["set", "at"], "left_semi")
+    with_table = chosen.withColumns({"_table": ranks.select("rank").scalar(), "_busy": ranks.select("busy").scalar()})
 
     def key(h: Column) -> Column:
         rank = F.element_at("_table", h.bitwiseAND((1 << BUCKET_BITS) - 1) + 1)
@@ -102,7 +112,12 @@ def _signed(lines: DataFrame, ranks: DataFrame, first: DataFrame, threshold: flo
     def short(k: Column) -> Column:
         return F.hash(k).bitwiseAND(-2).bitwiseOR((F.shiftright(k, _HASH_BITS) >= F.col("busy")).cast("int"))
 
-    lows = [F.array_min(F.transform("keys", lambda k, i=i: F.xxhash64(k, F.lit(i)))) for i in range(LEADERS)]
+    # Hashes are sorted: the first are the smallest, the last the largest.
+    lows = [
+        F.xxhash64(F.lit(end), *(F.get("hashes", F.lit(i) if end == 0 else F.size("hashes") - 1 - i) for i in two))
+        for end in (0, 1)
+        for two in combinations(range(LEADERS), 2)
+    ]
     prefix = (F.col("size") - _fewest(F.col("size"), threshold) + 1).cast("int")
     signed = (
         with_table.select(
@@ -111,13 +126,14 @@ def _signed(lines: DataFrame, ranks: DataFrame, first: DataFrame, threshold: flo
             F.sort_array(F.transform("hashes", key)).alias("keys"),
             F.size("hashes").alias("size"),
             F.col("_busy").alias("busy"),
+            F.array(*lows).alias("lows"),
         )
-        .select("*", bits(0).alias("map0"), bits(1).alias("map1"), F.array(*lows).alias("lows"))
+        .select("*", bits(0).alias("map0"), bits(1).alias("map1"))
         .withColumn("keys", F.transform(F.slice("keys", 1, prefix), short))
         .drop("busy")
     )
     # Rows that repeat an id and its text have the same lines in the same places: one of each.
-    return signed.join(first.select("set", "place"), ["set", "place"], "left_semi").dropDuplicates(["set", "place"]).drop("set")
+    return signed.dropDuplicates(["set", "place"]).drop("set")
 
 
 def _bit(k: Column) -> Column:
@@ -164,26 +180,24 @@ def _verified(pairs: DataFrame, contents: DataFrame, threshold: float, spent: Se
 
 def _led(signed: DataFrame, threshold: float) -> DataFrame:
     """Pairs of a line with the earliest line of one of its MinHash buckets."""
-    rows = signed.select("place", "size", "map0", "map1", F.posexplode("lows").alias("which", "low"))
-    leaders = rows.groupBy("which", "low").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = rows.join(leaders, ["which", "low"]).filter("place > first").select("place", "size", "map0", "map1", "first").distinct()
+    rows = signed.select("place", F.explode("lows").alias("low"))
+    leaders = rows.groupBy("low").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    pairs = rows.join(leaders, "low").filter("place > first").select("place", "first").distinct()
     short = signed.select("place", "size", "map0", "map1")
-    met = pairs.alias("x").join(short.alias("y"), F.col("x.first") == F.col("y.place"))
+    met = pairs.join(short, "place").alias("x").join(short.alias("y"), F.col("x.first") == F.col("y.place"))
     return met.filter(_may_match("x", "y", F.col("x.size"), F.col("y.size"), threshold)).select(F.col("x.place").alias("late"), F.col("x.first").alias("early"))
 
 
 def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
-    """Candidate pairs by prefix, positional and length filters; one of a pair is unsettled.
+    """Candidate pairs by prefix, positional and length filters; the later of a pair is unsettled.
 
-    Joined rows carry a line's place in the staged table, which is shorter than its place in the
-    corpus. Frees ``signed``; also returns the staged tables that the pairs are read from.
+    Joined rows carry a number that follows the order of places and is shorter. Frees ``signed``;
+    also returns the staged tables that the pairs are read from.
     """
-    file = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
-    numbered = signed.select("*", (F.shiftleft(file, 33) + F.col("_metadata.row_index")).alias("row"))
-    numbered = numbered.drop("lows").join(settled.select(F.col("late").alias("place"), F.lit(False).alias("open")), "place", "left")
-    marked = numbered.withColumn("open", F.coalesce("open", F.lit(True)))
-
-    marked = materialise(marked, "line-marked")
+    marked = signed.drop("lows").join(settled.select(F.col("late").alias("place"), F.lit(False).alias("open")), "place", "left")
+    marked = marked.withColumn("open", F.coalesce("open", F.lit(True))).sort("place")
+    # Grows along the sorted partitions; written at once, so it is given out only once.
+    marked = materialise(marked.withColumn("row", F.monotonically_increasing_id()), "line-marked")
     release(signed)
 
     def rows(length: Column, open_sides: tuple[int, int], settled_side: int, turn: int) -> DataFrame:
@@ -199,18 +213,17 @@ def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> tuple[
     share = 2 * threshold / (1 + threshold)
     passes = []
     for turn in range(PASSES):
-        # The shorter line of a pair needs fewer words; of equally long ones both orders are tried.
+        # The shorter line of a pair needs fewer words; of equally long ones either needs no more.
         x = rows(size - _fewest(size, share) + 1, (0, 1), 2, turn).alias("x")
         y = rows(size - _fewest(size, threshold) + 1, (0, 2), 1, turn).alias("y")
         (sx, ax, ox), (sy, ay, oy) = _unpacked(F.col("x.pack")), _unpacked(F.col("y.pack"))
         need = F.ceil((sx + sy) * (threshold / (1 + threshold)) - 1e-9)
         both = (
             (F.col("x.key") == F.col("y.key"))
-            & (sx <= sy)
+            & ((sx < sy) | ((sx == sy) & (F.col("x.row") < F.col("y.row"))))
             & (F.least(sx - ax, sy - ay) >= need)
             & _may_match("x", "y", sx, sy, threshold)
-            & (F.col("x.row") != F.col("y.row"))
-            & (ox | oy)
+            & F.when(F.col("x.row") > F.col("y.row"), ox).otherwise(oy)
         )
         met = x.join(y, both).select(F.least("x.row", "y.row").alias("one"), F.greatest("x.row", "y.row").alias("two"))
         passes.append(materialise(met.distinct(), "line-met"))
@@ -232,13 +245,15 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     empty line.
     """
     docs = docs.select(F.col(id_col).alias("id"), whole(F.col(text_col)).alias("text"))
-    docs = docs.select(_document(F.col("id"), F.col("text")).alias("document"), F.translate("text", _FROM, _TO).alias("text"))
+    docs = docs.select(_document(F.col("id"), F.col("text")).alias("document"), "text")
     lines = docs.select("document", F.posexplode(F.split("text", "\n")).alias("line", "content"))
     placed = (F.col("document") + F.col("line").cast("decimal(10,0)")).cast("decimal(38,0)")
     # Asked of the line, as a condition on its words would split it twice.
-    contents = lines.filter(F.trim("content") != "").select(placed.alias("at"), "content")
-    sets = contents.select("at", word_set(F.col("content")).alias("words"))
-    sets = sets.select("at", F.unhex(F.md5(F.array_join("words", " "))).alias("set"), F.transform("words", lambda w: F.hash(w)).alias("hashes"))
+    contents = lines.filter(F.btrim("content", F.lit(" " + _WHITE)) != "").select(placed.alias("at"), "content")
+    # A set is known by 128 bits of a hash of its words' 64-bit hashes. Numbers are sorted faster than words.
+    sets = contents.select("at", F.sort_array(F.array_distinct(F.transform(_words(F.col("content")), lambda w: F.xxhash64(w)))).alias("long"))
+    named = F.struct(F.xxhash64("long").alias("a"), F.xxhash64(F.lit(1), "long").alias("b"))
+    sets = sets.select("at", named.alias("set"), F.sort_array(F.transform("long", lambda h: F.hash(h))).alias("hashes"))
     # Staged, as splitting texts into words costs most and several steps read them.
     lines = materialise(sets, "lines")
     first = lines.groupBy("set").agg(F.min("at").alias("place"), F.count(F.lit(1)).alias("n"))

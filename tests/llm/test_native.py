@@ -167,3 +167,25 @@ def test_line_dedup_of_a_large_group_of_near_copies(table):
     got = removed(line_dedup.line_dedup(table(rows)))
     assert got == {i: [0] for i in range(1, 600)}
     assert ceil(0.8 * 31) == 25
+
+
+def test_line_dedup_makes_no_pairs_for_settled_lines(table, monkeypatch):
+    made, plain = [], line_dedup.materialise
+
+    def counted(df, name="stage", by=()):
+        staged = plain(df, name, by)
+        if name == "line-met":
+            made.append(staged.count())
+        return staged
+
+    monkeypatch.setattr(line_dedup, "materialise", counted)
+    base = prose(1, 30).split()
+    rows = [(i, " ".join([*base[: i % 30], f"n{i}", *base[i % 30 + 1 :]])) for i in range(600)]
+    assert removed(line_dedup.line_dedup(table(rows))) == {i: [0] for i in range(1, 600)}
+    # Few lines share no bucket with the first; a pair of each other line with it would be 599 pairs.
+    assert sum(made) < 300
+
+
+def test_line_dedup_reads_lines_of_any_letters_alike(table):
+    rows = [(1, "Über DEN\tTree \x0b go"), (2, "Über den tree GO"), (3, "über den tree go"), (4, "den\x0ctree\rGO on\nA B"), (5, "Den Tree go ON\na\tb"), (6, "\t\x0b\x0c\r ")]
+    assert removed(line_dedup.line_dedup(table(rows))) == {2: [0], 5: [0, 1]}
