@@ -1,8 +1,8 @@
 """Line de-duplication by an exact set-similarity join, with DataFrame operations only.
 
 A line is the set of its words. It goes if an earlier line of the corpus (by document id, then by
-place) has a similar set: Jaccard similarity at or above the threshold. Lines with equal sets are
-combined before anything is joined, so copies cost one row each.
+place) has a similar set: Jaccard similarity at or above the threshold. Lines of equal words in equal
+order are combined before anything is joined, so copies cost one row each.
 
 The join is the prefix filter with its positional and length filters. Words are ordered by rarity,
 and two similar lines must share a word among the rarest few of each; how many follows from their
@@ -18,6 +18,9 @@ candidate lines alone, and a staged table is freed when its last reader is done.
 Large groups of near copies are settled first: every line is checked against the earliest line of
 its MinHash buckets. A line settled that way needs no other, so the join only looks for the earlier
 lines of unsettled ones; pairs whose later line is settled are not made.
+
+A place is a document and a line in one number. Where ids alone tell documents apart and take at most
+33 bits it has 64 bits, which are sorted, hashed and written many times faster than 128.
 """
 
 from __future__ import annotations
@@ -28,9 +31,10 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, LongType
 
 from aerostat.llm.common import UPPER, fresh, whole
-from aerostat.plans.lineage import materialise, release
+from aerostat.plans.lineage import materialise, materialise_numbers, release
 
 THRESHOLD = 0.8
 BUCKET_BITS = 20  # of the table of word frequencies
@@ -43,25 +47,45 @@ _HASH_BITS = 32 - BUCKET_BITS
 _LINES = 1 << 31  # of a text at most
 
 
-def _words(line: Column) -> Column:
-    """The words of a line. Capital ASCII letters become small ones, and white space becomes blanks."""
+def _small(line: Column) -> Column:
+    """The line with small letters for capital ASCII ones, and with blanks for white space."""
     # Translating costs many times what lower() does, and of ASCII gives the same.
     plain = reduce(Column.__and__, [~F.contains(line, F.lit(c)) for c in _WHITE], F.octet_length(line) == F.length(line))
-    small = F.when(plain, F.lower(line)).otherwise(F.translate(line, UPPER + _WHITE, UPPER.lower() + " " * len(_WHITE)))
+    return F.when(plain, F.lower(line)).otherwise(F.translate(line, UPPER + _WHITE, UPPER.lower() + " " * len(_WHITE)))
+
+
+def _words(small: Column) -> Column:
     return F.array_remove(F.split(small, " "), "")
 
 
 def word_set(line: Column) -> Column:
     """The different words of a line."""
-    return F.array_distinct(_words(line))
+    return F.array_distinct(_words(_small(line)))
+
 
+def _plain(docs: DataFrame, id_col: str) -> bool:
+    """Whether ids alone tell documents apart and leave room for the line in 64 bits."""
+    ids = docs.select(F.col(id_col).alias("id"))
+    if not isinstance(ids.schema["id"].dataType, IntegralType):
+        return False
+    fits = F.coalesce(F.col("id").cast("long").between(-2 * _LINES, 2 * _LINES - 1), F.lit(False))
+    return bool(ids.groupBy("id").count().agg(F.coalesce(F.bool_and(fits & (F.col("count") == 1)), F.lit(True))).first()[0])
 
-def _document(key: Column, text: Column) -> Column:
+
+def _short(df: DataFrame, place: str) -> bool:
+    """Whether places have 64 bits. Then no two lines share one."""
+    return isinstance(df.schema[place].dataType, LongType)
+
+
+def _document(key: Column, text: Column, plain: bool = False) -> Column:
     """Order of documents as one number, with room for the lines: by id, those without an id last.
 
     Ids are whole numbers. A document is its id and its text: of those that share an id 31 bits of
-    a hash of the text tell which is first, of those without an id 94 bits.
+    a hash of the text tell which is first, of those without an id 94 bits. Of ``plain`` ids no text
+    is needed.
     """
+    if plain:
+        return key.cast("long") * F.lit(_LINES).cast("long")
     digest = F.xxhash64(text).bitwiseAND((1 << 63) - 1).cast("decimal(20,0)")
     top = F.coalesce(key.cast("decimal(20,0)"), digest + F.lit(str(10**19)).cast("decimal(20,0)")).cast("decimal(20,0)")
     low = F.hash(text).bitwiseAND(_LINES - 1).cast("decimal(10,0)")
@@ -75,11 +99,12 @@ def _ranks(lines: DataFrame) -> DataFrame:
     bucket = F.col("word").bitwiseAND(n - 1).cast("long")
     counts = lines.select(F.explode("hashes").alias("word")).groupBy(bucket.alias("bucket")).count()
     every = lines.sparkSession.range(n).withColumnRenamed("id", "bucket").join(counts, "bucket", "left")
-    row = F.struct(F.coalesce("count", F.lit(0)).alias("n"), F.col("bucket").cast("int").alias("b"))
-    ranked = every.agg(F.array_sort(F.collect_list(row)).alias("all"))  # of a fixed size
-    pairs = F.array_sort(F.transform("all", lambda x, i: F.struct(x["b"].alias("b"), i.alias("r"))))
-    busy = F.size(F.filter("all", lambda x: x["n"] <= BUSY))
-    return ranked.select(F.transform(pairs, lambda x: x["r"]).alias("rank"), busy.alias("busy"))
+    # Count and bucket, then bucket and rank, in one number each: those are sorted fast.
+    row = F.shiftleft(F.coalesce("count", F.lit(0)), BUCKET_BITS) + F.col("bucket")
+    ranked = every.agg(F.sort_array(F.collect_list(row)).alias("all"))  # of a fixed size
+    pairs = F.sort_array(F.transform("all", lambda x, i: F.shiftleft(x.bitwiseAND(n - 1), BUCKET_BITS) + i))
+    busy = F.size(F.filter("all", lambda x: F.shiftright(x, BUCKET_BITS) <= BUSY))
+    return ranked.select(F.transform(pairs, lambda x: x.bitwiseAND(n - 1).cast("int")).alias("rank"), busy.alias("busy"))
 
 
 def _fewest(size: Column, threshold: float) -> Column:
@@ -95,19 +120,18 @@ def _signed(lines: DataFrame, ranks: DataFrame, first: DataFrame, threshold: flo
     """
     # Scalar subqueries, evaluated once. Each is used in one place, so the optimizer puts it there;
     # used twice, the whole table would become a column and be copied into every row.
-    chosen = lines.join(first.select("set", F.col("place").alias("at")), ["set", "at"], "left_semi")
+    alone = _short(lines, "at")
+    by = ["at"] if alone else ["set", "at"]
+    chosen = lines.join(first.withColumnRenamed("place", "at").select(*by), by, "left_semi")
     with_table = chosen.withColumns({"_table": ranks.select("rank").scalar(), "_busy": ranks.select("busy").scalar()})
 
     def key(h: Column) -> Column:
-        rank = F.element_at("_table", h.bitwiseAND((1 << BUCKET_BITS) - 1) + 1)
+        # Never null, which Spark is told here, as it sorts such numbers many times faster.
+        rank = F.coalesce(F.get("_table", h.bitwiseAND((1 << BUCKET_BITS) - 1)), F.lit(0))
         return F.shiftleft(rank.cast("long"), _HASH_BITS) + F.shiftrightunsigned(h, BUCKET_BITS)
 
     def bits(half: int) -> Column:
-        return F.aggregate(
-            "keys",
-            F.lit(0).cast("long"),
-            lambda a, k: F.when(k.bitwiseAND(64) == 64 * half, a.bitwiseOR(_bit(k))).otherwise(a),
-        )
+        return F.aggregate("hashes", F.lit(0).cast("long"), lambda a, h: a.bitwiseOR(_bit(h, half)))
 
     def short(k: Column) -> Column:
         return F.hash(k).bitwiseAND(-2).bitwiseOR((F.shiftright(k, _HASH_BITS) >= F.col("busy")).cast("int"))
@@ -127,17 +151,20 @@ def _signed(lines: DataFrame, ranks: DataFrame, first: DataFrame, threshold: flo
             F.size("hashes").alias("size"),
             F.col("_busy").alias("busy"),
             F.array(*lows).alias("lows"),
+            bits(0).alias("map0"),
+            bits(1).alias("map1"),
         )
-        .select("*", bits(0).alias("map0"), bits(1).alias("map1"))
         .withColumn("keys", F.transform(F.slice("keys", 1, prefix), short))
         .drop("busy")
     )
     # Rows that repeat an id and its text have the same lines in the same places: one of each.
-    return signed.dropDuplicates(["set", "place"]).drop("set")
+    return (signed if alone else signed.dropDuplicates(["set", "place"])).drop("set")
 
 
-def _bit(k: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))
+def _bit(h: Column, half: int) -> Column:
+    """The last six bits of a hash tell the bit, the next one the half of the map that has it."""
+    there = F.shiftright(h if half else F.bitwise_not(h), 6).bitwiseAND(1)
+    return F.call_function("shiftleft", there.cast("long"), h)
 
 
 def _packed(size: str, at: str, open_: str) -> Column:
@@ -161,19 +188,20 @@ def _verified(pairs: DataFrame, contents: DataFrame, threshold: float, spent: Se
 
     The ``spent`` tables are those that nothing but ``pairs`` reads any more.
     """
-    pairs = materialise(pairs.distinct(), "line-pairs")
+    pairs = materialise_numbers(pairs.distinct(), "line-pairs")
     release(*spent)
     some = pairs.select(F.col("late").alias("at")).unionByName(pairs.select(F.col("early").alias("at"))).distinct()
-    some = materialise(some, "line-wanted")
+    some = materialise_numbers(some, "line-wanted")
     wanted = F.broadcast(some) if some.count() <= SENT else some
     # Rows that repeat an id and its text have the same lines in the same places: one of each.
-    read = contents.join(wanted, "at", "left_semi").dropDuplicates(["at"])
+    read = contents.join(wanted, "at", "left_semi")
+    read = read if _short(read, "at") else read.dropDuplicates(["at"])
     words = materialise(read.select("at", word_set(F.col("content")).alias("words")), "line-words")
     late = words.select(F.col("at").alias("late"), F.col("words").alias("w"))
     early = words.select(F.col("at").alias("early"), F.col("words").alias("v"))
     common = F.size(F.array_intersect("w", "v"))
     similar = common >= (F.size("w") + F.size("v") - common) * threshold - 1e-9
-    found = materialise(pairs.join(late, "late").join(early, "early").filter(similar).select("late").distinct(), "line-late")
+    found = materialise_numbers(pairs.join(late, "late").join(early, "early").filter(similar).select("late").distinct(), "line-late")
     release(pairs, some, words)
     return found
 
@@ -191,13 +219,15 @@ def _led(signed: DataFrame, threshold: float) -> DataFrame:
 def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
     """Candidate pairs by prefix, positional and length filters; the later of a pair is unsettled.
 
-    Joined rows carry a number that follows the order of places and is shorter. Frees ``signed``;
+    Joined rows carry a number that follows the order of places and has 64 bits. Frees ``signed``;
     also returns the staged tables that the pairs are read from.
     """
+    alone = _short(signed, "place")
     marked = signed.drop("lows").join(settled.select(F.col("late").alias("place"), F.lit(False).alias("open")), "place", "left")
-    marked = marked.withColumn("open", F.coalesce("open", F.lit(True))).sort("place")
+    marked = marked.withColumn("open", F.coalesce("open", F.lit(True)))
     # Grows along the sorted partitions; written at once, so it is given out only once.
-    marked = materialise(marked.withColumn("row", F.monotonically_increasing_id()), "line-marked")
+    marked = marked.withColumnRenamed("place", "row") if alone else marked.sort("place").withColumn("row", F.monotonically_increasing_id())
+    marked = materialise_numbers(marked, "line-marked")
     release(signed)
 
     def rows(length: Column, open_sides: tuple[int, int], settled_side: int, turn: int) -> DataFrame:
@@ -228,6 +258,8 @@ def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> tuple[
         met = x.join(y, both).select(F.least("x.row", "y.row").alias("one"), F.greatest("x.row", "y.row").alias("two"))
         passes.append(materialise(met.distinct(), "line-met"))
     pairs = reduce(DataFrame.unionByName, passes).distinct()
+    if alone:
+        return pairs.select(F.col("two").alias("late"), F.col("one").alias("early")), [marked, *passes]
     places = marked.select("row", "place")
     one, two = (places.select(F.col("row").alias(n), F.col("place").alias(f"{n}_place")) for n in ("one", "two"))
     placed = pairs.join(one, "one").join(two, "two")
@@ -235,32 +267,39 @@ def _prefixed(signed: DataFrame, settled: DataFrame, threshold: float) -> tuple[
     return placed, [marked, *passes]
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def repeated_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, plain: bool | None = None
+) -> DataFrame:
     """``document`` and line number (from 0) of every line that an earlier line repeats.
 
-    ``document`` is the number that ``_document`` gives to id and text. Lines end at each line feed.
+    ``document`` is the number that ``_document`` gives to id and text, those being ``plain`` or not;
+    unless told, the ids are looked at. Lines end at each line feed.
     A line without words is never repeated. Rows that repeat an id and its text count as one
     document, so a copy of a row repeats nothing of it; different texts of one id, or without an
     id, are documents of their own. Lines of documents without an id come last. Null texts have one
     empty line.
     """
+    if plain is None:
+        plain = _plain(docs, id_col)
     docs = docs.select(F.col(id_col).alias("id"), whole(F.col(text_col)).alias("text"))
-    docs = docs.select(_document(F.col("id"), F.col("text")).alias("document"), "text")
+    docs = docs.select(_document(F.col("id"), F.col("text"), plain).alias("document"), "text")
     lines = docs.select("document", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    placed = (F.col("document") + F.col("line").cast("decimal(10,0)")).cast("decimal(38,0)")
-    # Asked of the line, as a condition on its words would split it twice.
-    contents = lines.filter(F.btrim("content", F.lit(" " + _WHITE)) != "").select(placed.alias("at"), "content")
-    # A set is known by 128 bits of a hash of its words' 64-bit hashes. Numbers are sorted faster than words.
-    sets = contents.select("at", F.sort_array(F.array_distinct(F.transform(_words(F.col("content")), lambda w: F.xxhash64(w)))).alias("long"))
-    named = F.struct(F.xxhash64("long").alias("a"), F.xxhash64(F.lit(1), "long").alias("b"))
-    sets = sets.select("at", named.alias("set"), F.sort_array(F.transform("long", lambda h: F.hash(h))).alias("hashes"))
+    placed = F.col("document") + F.col("line") if plain else (F.col("document") + F.col("line").cast("decimal(10,0)")).cast("decimal(38,0)")
+    # Asked of the line, as a condition on its words would split it twice. From the left only: the first other letter ends it.
+    contents = lines.filter(F.ltrim("content", F.lit(" " + _WHITE)) != "").select(placed.alias("at"), "content")
+    # A set is known by 128 bits of a hash of the line. Equal sets of lines that differ are similar as any others are.
+    sets = contents.select("at", _small(F.col("content")).alias("small"))
+    named = F.struct(F.xxhash64("small").alias("a"), F.xxhash64(F.lit(1), "small").alias("b"))
+    # Numbers are sorted faster than words.
+    hashes = F.sort_array(F.array_distinct(F.transform(_words(F.col("small")), lambda w: F.hash(w))))
+    sets = sets.select("at", named.alias("set"), hashes.alias("hashes"))
     # Staged, as splitting texts into words costs most and several steps read them.
-    lines = materialise(sets, "lines")
+    lines = materialise_numbers(sets, "lines")
     first = lines.groupBy("set").agg(F.min("at").alias("place"), F.count(F.lit(1)).alias("n"))
-    first = materialise(first, "line-sets")
-    ranks = materialise(_ranks(lines), "line-ranks")
-    signed = materialise(_signed(lines, ranks, first, threshold), "line-signed")
-    places = materialise(lines.select("at", "set"), "line-places")
+    first = materialise_numbers(first, "line-sets")
+    ranks = materialise_numbers(_ranks(lines), "line-ranks")
+    signed = materialise_numbers(_signed(lines, ranks, first, threshold), "line-signed")
+    places = materialise_numbers(lines.select("at", "set"), "line-places")
     release(lines, ranks)
     settled = _verified(_led(signed, threshold), contents, threshold)
     candidates, spent = _prefixed(signed, settled, threshold)
@@ -269,6 +308,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marked = first.join(late.select(F.col("late").alias("place"), F.lit(True).alias("all")), "place", "left")
     marked = marked.withColumn("all", F.coalesce("all", F.lit(False))).filter("all OR n > 1").drop("n")
     found = places.join(marked, "set").filter(F.col("all") | (F.col("at") > F.col("place")))
+    if plain:
+        line = F.col("at").bitwiseAND(_LINES - 1)
+        return found.select((F.col("at") - line).alias("document"), line.cast("int").alias("line"))
     line = F.pmod("at", F.lit(_LINES).cast("decimal(10,0)"))
     return found.select((F.col("at") - line).cast("decimal(38,0)").alias("document"), line.cast("int").alias("line"))
 
@@ -280,11 +322,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     line goes stays as it is, null too; one of which all go becomes empty. See ``repeated_lines``.
     """
     docs = docs.drop("n_lines", "removed")
-    gone = repeated_lines(docs, id_col, text_col, threshold).groupBy("document").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    plain = _plain(docs, id_col)
+    gone = repeated_lines(docs, id_col, text_col, threshold, plain).groupBy("document").agg(F.sort_array(F.collect_set("line")).alias("removed"))
     other = fresh(docs, "gone_from")
     gone = gone.withColumnRenamed("document", other)
     counted = docs.withColumn("n_lines", F.size(F.split(whole(F.col(text_col)), "\n")).cast("long"))
-    joined = counted.join(gone, _document(F.col(id_col), whole(F.col(text_col))) == F.col(other), "left").drop(other)
+    # A column of its own: as a condition it would be told several times, and texts would be shuffled for it.
+    counted = counted.withColumn(other, _document(F.col(id_col), whole(F.col(text_col)), plain))
+    joined = counted.join(gone, other, "left").drop(other)
     kept = F.filter(F.split(whole(F.col(text_col)), "\n"), lambda _, i: ~F.array_contains("removed", i))
     cleaned = F.when(F.col("removed").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     removed = F.coalesce("removed", F.array().cast("array<int>"))

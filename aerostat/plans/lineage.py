@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Sequence
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
@@ -44,9 +44,19 @@ _paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 def materialise(df: DataFrame, name: str = "stage", by: Sequence[str] = ()) -> DataFrame:
     """Write the frame once as Parquet in the shared folder, partitioned by some columns, and read
     it back."""
+    return _staged(df, name, df.write.partitionBy(*by))
+
+
+def materialise_numbers(df: DataFrame, name: str = "stage") -> DataFrame:
+    """As ``materialise``, for numbers that hardly repeat, such as hashes: looking for repeated ones
+    costs most of writing them and saves little space."""
+    return _staged(df, name, df.write.option("parquet.enable.dictionary", "false"))
+
+
+def _staged(df: DataFrame, name: str, writer: DataFrameWriter) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.partitionBy(*by).parquet(path)
+    writer.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     _paths[staged] = path
     return staged

@@ -189,3 +189,29 @@ def test_line_dedup_makes_no_pairs_for_settled_lines(table, monkeypatch):
 def test_line_dedup_reads_lines_of_any_letters_alike(table):
     rows = [(1, "Über DEN\tTree \x0b go"), (2, "Über den tree GO"), (3, "über den tree go"), (4, "den\x0ctree\rGO on\nA B"), (5, "Den Tree go ON\na\tb"), (6, "\t\x0b\x0c\r ")]
     assert removed(line_dedup.line_dedup(table(rows))) == {2: [0], 5: [0, 1]}
+
+
+@pytest.mark.parametrize("first", [0, -(2**32), 2**32 - 60, 2**32 - 30, 2**50])
+def test_line_dedup_keeps_places_in_64_bits_where_ids_leave_room(table, monkeypatch, first):
+    wide, plain = [], line_dedup.materialise_numbers
+
+    def seen(df, name="stage"):
+        wide.extend(kind for _, kind in df.dtypes if "decimal" in kind)
+        return plain(df, name)
+
+    monkeypatch.setattr(line_dedup, "materialise_numbers", seen)
+    rows = [(first + d, text) for d, text in noisy_rows(5)]
+    assert removed(line_dedup.line_dedup(table(rows))) == expected_lines(rows)
+    assert bool(wide) == (first + 59 >= 2**32)
+
+
+def test_line_dedup_shuffles_no_texts_to_join_verdicts(table):
+    rows = [(d, text) for d, text in noisy_rows(6, 20)]
+    got = line_dedup.line_dedup(table(rows)).select("doc_id", "removed")
+    joins = [x for x in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in x]
+    assert joins and not any("text" in x for x in joins)
+
+
+def test_line_dedup_of_equal_words_in_another_order(table):
+    rows = [(1, "one two three four"), (2, "four  three two one"), (3, "one one two three four"), (4, "one two three four"), (5, "five")]
+    assert removed(line_dedup.line_dedup(table(rows), threshold=1.0)) == {2: [0], 3: [0], 4: [0]}
