@@ -38,8 +38,8 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     short_batches(spark)
     model = sentencepiece.load(TOKENIZER)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = docs.withColumn("ids", sentencepiece.encode(F.col("text"), model))
-    coded = coded.withColumn("decoded", sentencepiece.decode(F.col("ids"), model))
+    coded = docs.withColumn("coded", sentencepiece.round_trip(F.col("text"), model))
+    coded = coded.select("doc_id", "text", "coded.ids", "coded.decoded")
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

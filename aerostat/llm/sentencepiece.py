@@ -12,12 +12,15 @@ and its shortest path in the tropical semiring is the encoding:
   whole text, so exactly one path per prefix has a finite cost.
 
 No piece holds a blank mark behind another character, so every path passes through the cut before
-each run of marks: words are composed one by one, and a task remembers the words it has seen.
+each run of marks: words are composed one by one. A worker remembers the words it has seen, from one task
+to the next, and encodes and decodes in one place, so that each task needs one set of machines.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from array import array
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -28,8 +31,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MARK = "▁"
-REMEMBERED = 300_000  # words of a generation; half as many pairs of pieces
+REMEMBERED = 150_000  # words of a generation, of which there are two; as many pairs of pieces
 LONG = 64  # longer words are not remembered
+SHORT = 24  # words of at most so many characters are not cut into parts
 _INF = float("inf")
 _SHORT = (2, 1)
 
@@ -46,6 +50,7 @@ class Model:
     rules: dict[int, str] = field(default_factory=dict)  # code point to its normal form
     prefix: bool = True
     squeeze: bool = False
+    name: str = ""  # tells models apart; machines of one without a name serve one task
 
 
 def load(path: str) -> Model:
@@ -79,7 +84,9 @@ def load(path: str) -> Model:
             out = out.lstrip(MARK)[1:-1]
             if out != c:
                 rules[ord(c)] = out.replace(MARK, " ")
-    return Model(pieces, byte_ids, sp.unk_id(), spelled, _merges(path), rules, prefix, squeeze)
+    with open(path, "rb") as f:
+        name = hashlib.sha256(f.read()).hexdigest()
+    return Model(pieces, byte_ids, sp.unk_id(), spelled, _merges(path), rules, prefix, squeeze, name)
 
 
 def _merges(path: str) -> bool:
@@ -126,18 +133,43 @@ class Coder:
         self.model = model
         self.score = {piece: score for piece, (_, score) in model.pieces.items()}.get
         self.longest = max(map(len, model.pieces), default=1)
-        # Lengths of pieces by their first three characters, longest first, and pairs of characters
-        # that some piece holds: between others every path has a state.
-        lengths: dict[str, set[int]] = {}
-        self.inner: set[str] = set()
+        # Pairs of characters that some piece holds: between others every path has a state.
+        self.inner = {piece[i : i + 2] for piece in model.pieces for i in range(len(piece) - 1)}
+        # Lengths of the arcs that may leave a state, longest first, by the next three characters.
+        starts: dict[str, set[int]] = {}
+        for piece in model.pieces:
+            if len(piece) > 2:
+                starts.setdefault(piece[:3], set()).add(len(piece))
+        self.lengths = {start: (*sorted(n, reverse=True), *[2] * (start[:2] in model.pieces), 1) for start, n in starts.items()}
+        self.id = {piece: i for piece, (i, _) in model.pieces.items()}
+        self.piece = {i: piece for piece, i in self.id.items()}
+        # Lengths of the arcs that may enter a state, longest first, by the last three characters.
+        ends: dict[str, set[int]] = {}
         for piece in model.pieces:
             if len(piece) > 2:
-                lengths.setdefault(piece[:3], set()).add(len(piece))
-            self.inner.update(piece[i : i + 2] for i in range(len(piece) - 1))
-        self.lengths = {start: (*sorted(n, reverse=True), 2, 1) for start, n in lengths.items()}
+                ends.setdefault(piece[-3:], set()).add(len(piece))
+        self.ends = {end: (*sorted(n, reverse=True), *[2] * (end[-2:] in model.pieces), 1) for end, n in ends.items()}
         self.words = _Words(self)
-        self.follows = lru_cache(REMEMBERED // 2)(self._follows)
-        self.chunk = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        self.follows = lru_cache(REMEMBERED)(self._follows)
+        self.chunk = self._chunks()
+
+    def _chunks(self) -> re.Pattern[str]:
+        """What splits a text into words: before marks, and between letters and other characters
+        that no piece holds behind a letter, or before one. Unknown ones that meet must not be parted."""
+        if not self.model.bytes:
+            return re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        few = re.escape("".join(sorted({c for c in "".join(self.inner) if c.isalnum() and not c.isalpha()})))
+        letter, other = rf"[^\W\d_{few}]", rf"[\W\d_{few}]"
+        mixed = [(a, b) for a, b in self.inner if MARK != a and bool(re.match(letter, a)) != bool(re.match(letter, b))]
+
+        def one_of(characters: set[str]) -> str:
+            return "[" + re.escape("".join(sorted(characters))) + "]" if characters else "(?!)"
+
+        behind = one_of({b for _, b in mixed if not re.match(letter, b)})
+        before = one_of({a for a, _ in mixed if not re.match(letter, a)})
+        return re.compile(
+            f"{MARK}*{letter}+(?:{behind}[^{MARK}]*)?|{MARK}*(?:(?!{MARK}){other})+(?:(?<={before}){letter}[^{MARK}]*)?|{MARK}+"
+        )
 
     def normal(self, text: str) -> str:
         """Compose with the normaliser."""
@@ -217,10 +249,30 @@ class Coder:
             n -= len(last[n])
         return out[::-1]
 
+    def _longer(self, word: str) -> bytes | None:
+        """Ids of a word that is a remembered one and one more arc, of cost 0."""
+        id_, piece, known = self.id.get, self.piece.get, self.words.get
+        for length in self.ends.get(word[-3:], _SHORT):
+            ids = known(word[:-length])
+            if ids:
+                arc = word[-length:]
+                found = id_(arc)
+                last = piece(int.from_bytes(ids[-4:], "little"))
+                if found is not None and last is not None and self.follows(last, arc):
+                    return ids + found.to_bytes(4, "little")
+        return None
+
     def ids(self, word: str) -> bytes:
         """Ids of a normalised word as 32-bit integers."""
-        out = []
-        for piece in self.path(word):
+        longer = self._longer(word) if self.model.merges else None
+        if longer:
+            return longer
+        path = self.path(word)
+        try:
+            return array("i", map(self.id.__getitem__, path)).tobytes()
+        except KeyError:  # some character is no piece
+            out = []
+        for piece in path:
             found = self.model.pieces.get(piece)
             if found:
                 out.append(found[0])
@@ -228,12 +280,14 @@ class Coder:
                 out.extend(self.model.bytes[b] for b in piece.encode())
             elif not out or out[-1] != self.model.unknown:  # unknown ones in a row are one
                 out.append(self.model.unknown)
-        return np.array(out, "<i4").tobytes()
+        return array("i", out).tobytes()
 
     def parts(self, word: str) -> list[str]:
         """The word cut between all neighbours that no piece holds together: after a word's last
         letter, say, or between any two characters that are spelled in bytes."""
         inner, n = self.inner, len(word)
+        if n <= SHORT and self.model.bytes:
+            return [word]
         cuts = [0, *[i for i in range(1, n) if word[i - 1 : i + 1] not in inner], n]
         return [word[i:j] for i, j in zip(cuts, cuts[1:])]
 
@@ -282,6 +336,19 @@ def _lists(each: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
 
 
+_compiled: dict[str, Coder] = {}
+
+
+def _coder(model: Model) -> Coder:
+    """The machines of a model: of the last one that has a name, those of the worker's earlier tasks."""
+    if not model.name:
+        return Coder(model)
+    if model.name not in _compiled:
+        _compiled.clear()
+        _compiled[model.name] = Coder(model)
+    return _compiled[model.name]
+
+
 def encode(text: Column, model: Model) -> Column:
     """Ids of the whole text; null and empty texts have none."""
     made: list[Coder] = []
@@ -289,7 +356,7 @@ def encode(text: Column, model: Model) -> Column:
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
         if not made:
-            made.append(Coder(model))
+            made.append(_coder(model))
         return _lists([made[0].encode(t) for t in texts.to_pylist()])
 
     return run.asNondeterministic()(text)  # so that its columns are not computed twice
@@ -306,7 +373,7 @@ def decode(ids: Column, model: Model) -> Column:
     @F.arrow_udf("string")
     def run(lists: pa.Array) -> pa.Array:
         if not made:
-            made.append(Coder(model))
+            made.append(_coder(model))
         flat = lists.flatten().to_numpy()
         out, at = [], 0
         for n in lists.value_lengths().to_pylist():
@@ -316,3 +383,17 @@ def decode(ids: Column, model: Model) -> Column:
 
     return run.asNondeterministic()(ids)
 
+
+def round_trip(text: Column, model: Model) -> Column:
+    """``ids`` as ``encode`` gives them, and the text ``decoded`` from them as ``decode`` does, by one worker."""
+    made: list[Coder] = []
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def run(texts: pa.Array) -> pa.Array:
+        if not made:
+            made.append(_coder(model))
+        ids = [made[0].encode(t) for t in texts.to_pylist()]
+        decoded = [made[0].decode(each.tolist()) for each in ids]
+        return pa.StructArray.from_arrays([_lists(ids), pa.array(decoded, pa.string())], ["ids", "decoded"])
+
+    return run.asNondeterministic()(text)

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from llm_rows import LONG, ODD, prose
 from pyspark.sql import functions as F
 
-from aerostat.llm import components, decontamination, jaccard_join, sentencepiece, sharding
+from aerostat.llm import components, decontamination, jaccard_join, queries, sentencepiece, sharding
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -327,6 +327,39 @@ def test_columns_are_coded_and_decoded(table, model, library):
     assert empty.collect() == []
 
 
+def test_texts_are_coded_both_ways_by_one_worker(spark, table, model, library):
+    out = table(ODD).withColumn("coded", sentencepiece.round_trip(F.col("text"), model))
+    for r in out.collect():
+        assert r["coded"]["ids"] == library.encode(r["text"] or "")
+        assert r["coded"]["decoded"] == (r["text"] or "").replace("▁", " ")
+    assert table([]).withColumn("coded", sentencepiece.round_trip(F.col("text"), model)).collect() == []
+    query = queries.op1_sentencepiece(spark, "/root/testdata/sf0.001")
+    assert query._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_a_worker_keeps_the_machines_of_one_model():
+    one = sentencepiece._coder(sentencepiece.load(MODEL))
+    assert sentencepiece._coder(sentencepiece.load(MODEL)) is one
+    nameless = sentencepiece.Model({"a": (1, -1.0)}, {}, 0, [], True)
+    assert sentencepiece._coder(nameless) is not sentencepiece._coder(nameless)
+    assert sentencepiece._coder(sentencepiece.load(MODEL)) is one
+
+
+def test_words_are_remembered_without_the_marks_behind_them(model, library):
+    coder = sentencepiece.Coder(model)
+    text = "elle, elle. elle; (elle) elle's x²y a1b2 vi-elle\nelle 'elle' ²elle elle²."
+    assert coder.encode(text).tolist() == library.encode(text)
+    assert "▁elle" in coder.words and "▁elle," not in coder.words
+
+
+def test_words_that_extend_remembered_ones_are_coded_as_by_the_library(model, library):
+    coder = sentencepiece.Coder(model)
+    text = prose(5, 300)
+    words = [w[:k] for w in text.split() for k in range(1, len(w) + 1)]
+    for w in words + words[::-1]:
+        assert coder.encode(w).tolist() == library.encode(w)
+
+
 @pytest.mark.parametrize("run", ["天地玄黃宇宙洪荒龘靐", "🙂🙃🚀🫠", "☃☄★☎", "ก็ไปที่โน่น"])
 def test_encoding_of_long_runs_without_a_blank(run):
     import sentencepiece as library
